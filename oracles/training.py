@@ -12,7 +12,7 @@ def oracle(name: str, final: str, *needed: str) -> None:
 
 
 oracle("raw_flights", "SELECT * FROM raw", "raw")
-oracle("csv_to_parquet", "SELECT * FROM raw", "raw")
+oracle("csv_to_parquet", "SELECT * REPLACE (nullif(FAREBASISCODE, '') AS FAREBASISCODE) FROM raw", "raw")
 oracle(
     "seed_airports",
     """SELECT a.*, (SELECT count(*) FROM fact WHERE origin_airport_key = a.code) AS departures,

@@ -41,7 +41,7 @@ def date_key(day: Column) -> Column:
 def iso_date(value: Column) -> Column:
     """A ``YYYY-MM-DD`` text as a date; null when it is no such date."""
     shaped = value.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
-    return F.when(shaped, F.try_to_date(value, "yyyy-M-d"))
+    return F.when(shaped, value.try_cast("date"))
 
 
 def percent_label(value: Column) -> Column:

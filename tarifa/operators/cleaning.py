@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,36 +41,47 @@ def clean_training_rows(df: DataFrame) -> DataFrame:
     return df.where(has_seats() & is_plausible())
 
 
+class Fence(NamedTuple):
+    """Quartiles and outlier bounds of one column."""
+
+    q1: float | None
+    q3: float | None
+    lower_bound: float | None
+    upper_bound: float | None
+
+
 def fence(
     df: DataFrame,
     column: str,
     factor: float = FENCE_FACTOR,
     interpolation: str = "linear",
     exact: bool = True,
-) -> DataFrame:
-    """One row: the quartiles and the bounds ``factor`` interquartile ranges below and above them.
+) -> Fence:
+    """The quartiles and the bounds ``factor`` interquartile ranges below and above them.
 
-    Bounds are rounded to six places, which removes binary noise from amounts in cents.
+    Bounds are rounded to six places, which removes binary noise from amounts in cents. All are
+    ``None`` for a column without values.
     """
     shares = [0.25, 0.75]
-    found = (
+    q1, q3 = (
         quantiles(df, column, shares, interpolation)
         if exact
         else approximate_quantiles(df, column, shares)
     )
-    spread = F.col("q1") - F.col("q0")
-    return found.select(
-        F.col("q0").alias("q1"),
-        F.col("q1").alias("q3"),
-        F.round(F.col("q0") - factor * spread, 6).alias("lower_bound"),
-        F.round(F.col("q1") + factor * spread, 6).alias("upper_bound"),
-    )
+    if q1 is None:
+        return Fence(None, None, None, None)
+    spread = q3 - q1
+    return Fence(q1, q3, round(q1 - factor * spread, 6), round(q3 + factor * spread, 6))
+
+
+def at_most(column: str, bound: float | None) -> Column:
+    """A filter with a literal bound, which file scans can use to skip data."""
+    return F.col(column) <= F.lit(bound)
 
 
 def trim_above(df: DataFrame, column: str, **options) -> DataFrame:
     """Drop rows above the upper bound of ``column``; the lower bound is not applied."""
-    upper = fence(df, column, **options).select("upper_bound").scalar()
-    return df.where(F.col(column) <= upper)
+    return df.where(at_most(column, fence(df, column, **options).upper_bound))
 
 
 def trim_outliers(df: DataFrame, **options) -> DataFrame:
@@ -77,15 +90,14 @@ def trim_outliers(df: DataFrame, **options) -> DataFrame:
 
 
 def cleaning_audit(df: DataFrame, **options) -> DataFrame:
-    """Rows left after each cleaning step, counted together in one pass over ``df``."""
+    """Rows left after each cleaning step, counted together in one pass once the bounds are known."""
     clean = clean_training_rows(df)
-    fare_bound = fence(clean, "total_fare", **options).select("upper_bound").scalar()
-    by_fare = trim_above(clean, "total_fare", **options)
-    time_bound = fence(by_fare, "travel_duration_minutes", **options).select("upper_bound").scalar()
-    seats = F.coalesce(has_seats(), F.lit(False))
+    fare_is_low = at_most("total_fare", fence(clean, "total_fare", **options).upper_bound)
+    time_bound = fence(clean.where(fare_is_low), "travel_duration_minutes", **options).upper_bound
+    seats = has_seats()
     plausible = seats & is_plausible()
-    fare = plausible & (F.col("total_fare") <= fare_bound)
-    duration = fare & (F.col("travel_duration_minutes") <= time_bound)
+    fare = plausible & fare_is_low
+    duration = fare & at_most("travel_duration_minutes", time_bound)
     steps = {
         "0 loaded": F.lit(True),
         "1 with seats": seats,

@@ -2,76 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from tarifa.session import save
+
+CUTS = 255
 
 
 def quantiles(
     df: DataFrame, column: str, shares: list[float], interpolation: str = "linear"
-) -> DataFrame:
-    """One row with the exact quantiles of ``column`` as doubles, named ``q0``, ``q1`` and so on.
+) -> list[float | None]:
+    """The exact quantiles of ``column``; null values are left out.
 
-    Rows are first counted per distinct value, with partial counts on the map side. The values are cut
-    into at most 257 ordered buckets of similar size, ranks run within a bucket, and only the bucket
-    totals are summed in one place. ``interpolation`` is ``linear`` or ``nearest``; null values are left out.
+    Rows are counted per distinct value, with partial counts on the map side, and the counts are
+    stored: the table is read once. The stored values are then cut into at most 256 ranges of similar
+    size. Only the ranges that hold a wanted rank are sorted, each in a task of its own. The driver
+    sees the cuts, one total per range and one value per rank. ``interpolation`` is ``linear`` or
+    ``nearest``.
     """
-    counts = (
+    counts = save(
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    inner_cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = counts.agg(F.percentile_approx("value", inner_cuts, 10000)).scalar()
-    bucketed = counts.withColumn(
-        "bucket", F.size(F.filter(cuts, lambda cut: cut < F.col("value")))
-    )
-    # At most one row per bucket reaches this window without a partition key.
-    in_order = Window.orderBy("bucket")
-    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("bucket_n"))
-    totals = totals.select(
-        "bucket",
-        (F.sum("bucket_n").over(in_order) - F.col("bucket_n")).alias("rows_before"),
-        F.sum("bucket_n").over(Window.partitionBy()).alias("rows_total"),
-    )
-    ranked = bucketed.join(F.broadcast(totals), "bucket").select(
-        "value",
-        "rows_total",
-        (
-            F.col("rows_before")
-            + F.sum("n").over(Window.partitionBy("bucket").orderBy("value"))
-        ).alias("last_rank"),
-        "n",
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value_counts",
     )
-
-    def value_at(rank: Column) -> Column:
-        inside = (rank >= F.col("last_rank") - F.col("n")) & (rank < F.col("last_rank"))
-        return F.max(F.when(inside, F.col("value")))
-
-    aggregates = {"rows_total": F.max("rows_total")}
-    for i, share in enumerate(shares):
-        position = F.lit(share) * (F.col("rows_total") - 1)
-        if interpolation == "nearest":
-            aggregates[f"q{i}"] = value_at(F.round(position))
-        else:
-            aggregates[f"low{i}"] = value_at(F.floor(position))
-            aggregates[f"high{i}"] = value_at(F.ceil(position))
-    found = ranked.agg(*[column.alias(name) for name, column in aggregates.items()])
+    shares_inside = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
+    cuts, rows = counts.agg(F.percentile_approx("value", shares_inside, 10000), F.sum("n")).first()
+    if not rows:
+        return [None for _ in shares]
+    positions = [share * (rows - 1) for share in shares]
     if interpolation == "nearest":
-        return found.drop("rows_total")
+        positions = [float(math.floor(position + 0.5)) for position in positions]
+    wanted = sorted({f(position) for position in positions for f in (math.floor, math.ceil)})
+    value_at = _values_at(counts, sorted(set(cuts)), wanted)
     results = []
-    for i, share in enumerate(shares):
-        position = F.lit(share) * (F.col("rows_total") - 1)
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        results.append((low + (position - F.floor(position)) * (high - low)).alias(f"q{i}"))
-    return found.select(results)
+    for position in positions:
+        low, high = value_at[math.floor(position)], value_at[math.ceil(position)]
+        results.append(low + (position - math.floor(position)) * (high - low))
+    return results
+
+
+def _values_at(counts: DataFrame, cuts: list[float], ranks: list[int]) -> dict[int, float]:
+    """The values at 0-based ranks of the sorted rows."""
+    edges = F.array([F.lit(cut) for cut in cuts])
+    bucketed = counts.withColumn("bucket", F.size(F.filter(edges, lambda cut: cut < F.col("value"))))
+    sizes = dict(bucketed.groupBy("bucket").agg(F.sum("n")).collect())
+    before, start = {}, 0
+    for bucket in sorted(sizes):
+        if any(start <= rank < start + sizes[bucket] for rank in ranks):
+            before[bucket] = start
+        start += sizes[bucket]
+    first_rank = F.create_map([F.lit(x) for pair in before.items() for x in pair])[F.col("bucket")]
+    running = Window.partitionBy("bucket").orderBy("value")
+    ranked = (
+        bucketed.where(F.col("bucket").isin(list(before)))
+        .withColumn("end", first_rank + F.sum("n").over(running))
+        .withColumn("rank", F.explode(F.array([F.lit(rank) for rank in ranks])))
+        .where((F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end")))
+    )
+    return {row["rank"]: row["value"] for row in ranked.select("rank", "value").collect()}
 
 
 def approximate_quantiles(
     df: DataFrame, column: str, shares: list[float], accuracy: int = 100_000
-) -> DataFrame:
+) -> list[float | None]:
     """Quantiles from one pass over a mergeable sketch; ranks are off by at most 1/accuracy of the rows."""
-    estimate = F.percentile_approx(F.col(column).cast("double"), shares, accuracy)
-    found = df.agg(estimate.alias("found"))
-    return found.select([F.get("found", F.lit(i)).alias(f"q{i}") for i in range(len(shares))])
+    found = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, accuracy)).first()[0]
+    return found or [None for _ in shares]

@@ -309,11 +309,10 @@ def iqr_trim(t: Tables) -> DataFrame:
 @query
 def iqr_bounds(t: Tables) -> DataFrame:
     rows = _with_outliers(t)
-    return tables.union_all(
-        [
-            cleaning.fence(rows, name).select(F.lit(name).alias("column_name"), "*")
-            for name in ("total_fare", "travel_duration_minutes")
-        ]
+    names = ("total_fare", "travel_duration_minutes")
+    found = [(name, *cleaning.fence(rows, name)) for name in names]
+    return t.spark.createDataFrame(
+        found, "column_name string, q1 double, q3 double, lower_bound double, upper_bound double"
     )
 
 

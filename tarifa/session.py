@@ -10,16 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
+# Generated code above this size is not compiled to machine code by the JVM, so wide projections run
+# many times faster outside one large generated method.
+RUNTIME_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def build_session(app_name: str = "tarifa", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the library is written for; ``settings`` override them."""
     options = {
+        **RUNTIME_SETTINGS,
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
         **settings,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -30,6 +37,25 @@ def build_session(app_name: str = "tarifa", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that was built elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when a scan has few splits, such as one file with one row group.
+
+    With at least half as many splits as cores the frame is returned as it is, so the most that is
+    ever moved is half a split per core.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

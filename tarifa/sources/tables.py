@@ -36,7 +36,7 @@ def csv_to_parquet(
 ) -> int:
     """Convert CSV with a header to Snappy Parquet and return the number of records.
 
-    Files are split over tasks. ``multi_line`` allows line breaks inside quotes, at the price of one
+    Files are split over tasks; an empty field is null, quoted or not. ``multi_line`` allows line breaks inside quotes, at the price of one
     task per file. The count is taken from the write itself, not by reading the file a second time.
     """
     from pyspark.sql import Observation
