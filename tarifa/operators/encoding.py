@@ -40,29 +40,32 @@ def fit_codes(df: DataFrame, columns: list[str] = ENCODED_FEATURES) -> DataFrame
     )
 
 
-def _replace(df: DataFrame, codes: DataFrame, name: str, found_by: Column, result: Column, to: str) -> DataFrame:
-    feature_codes = codes.where(F.col("feature") == name).select(
+def _feature_codes(codes: DataFrame, feature: str) -> DataFrame:
+    return codes.where(F.col("feature") == feature).select(
         F.col("value").alias("category_value"), F.col("code").alias("category_code")
     )
-    return (
-        df.join(feature_codes, found_by, "left")
-        .withColumn(to, result)
-        .drop("category_value", "category_code")
-    )
 
 
 def encode(
-    df: DataFrame, codes: DataFrame, columns: list[str] = ENCODED_FEATURES, suffix: str = ""
+    df: DataFrame,
+    codes: DataFrame,
+    columns: dict[str, str] | list[str] = ENCODED_FEATURES,
+    suffix: str = "",
 ) -> DataFrame:
     """Write the code of each column to the column of that name plus ``suffix``.
 
-    A value without a code becomes 0. ``codes`` should be a stored table, so that its size decides
+    ``columns`` names the columns, or maps features of the code table to differently named columns. A
+    value without a code becomes 0. ``codes`` should be a stored table, so that its size decides
     between broadcast and shuffle.
     """
-    code = F.coalesce("category_code", F.lit(0))
-    for name in columns:
+    sources = columns if isinstance(columns, dict) else {name: name for name in columns}
+    for feature, name in sources.items():
         known = category_text(name) == F.col("category_value")
-        df = _replace(df, codes, name, known, code, name + suffix)
+        df = (
+            df.join(_feature_codes(codes, feature), known, "left")
+            .withColumn(name + suffix, F.coalesce("category_code", F.lit(0)))
+            .drop("category_value", "category_code")
+        )
     return df
 
 
@@ -70,7 +73,11 @@ def decode(df: DataFrame, codes: DataFrame, columns: list[str] = ENCODED_FEATURE
     """The inverse of ``encode`` for known codes."""
     for name in columns:
         known = F.col(name) == F.col("category_code")
-        df = _replace(df, codes, name, known, F.col("category_value"), name)
+        df = (
+            df.join(_feature_codes(codes, name), known, "left")
+            .withColumn(name, F.col("category_value"))
+            .drop("category_value", "category_code")
+        )
     return df
 
 

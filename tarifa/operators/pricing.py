@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +35,14 @@ def nonstop_from_segments(requests: DataFrame) -> DataFrame:
     return requests.withColumn("isNonStop", F.col("numSegments") == 1)
 
 
-def violations() -> Column:
-    """The names of the fields that break a request rule; empty for a valid request."""
+def _broken_rules() -> dict[str, Column]:
+    """Per field, whether it breaks its rule. For requests with defaults."""
 
     def outside(name: str, low: int, high: int | None = None) -> Column:
         value = F.col(name)
         return value < low if high is None else ~value.between(low, high)
 
-    broken = {
+    return {
         "searchDate": iso_date(F.col("searchDate")).isNull(),
         "flightDate": iso_date(F.col("flightDate")).isNull(),
         "startingAirport": F.col("startingAirport").isNull(),
@@ -51,10 +53,19 @@ def violations() -> Column:
         "numSegments": outside("numSegments", 1, 6),
         "departureHour": outside("departureHour", 0, 23),
     }
-    names = F.array([F.when(rule, F.lit(name)) for name, rule in broken.items()])
+
+
+def violations() -> Column:
+    """The names of the fields that break a request rule; empty for a valid request."""
+    names = F.array([F.when(rule, F.lit(name)) for name, rule in _broken_rules().items()])
     return F.filter(names, lambda name: name.isNotNull())
 
 
+def is_valid_request() -> Column:
+    """No rule is broken, as separate conditions that the optimizer can move one by one."""
+    return reduce(Column.__and__, [~rule for rule in _broken_rules().values()])
+
+
 def with_violations(requests: DataFrame) -> DataFrame:
     return requests.withColumn("violations", violations())
 
@@ -173,7 +184,7 @@ def price_batch(requests: DataFrame, keep: list[str] | None = None) -> DataFrame
     Per row: success, error, route, dynamic_price, confidence.
     """
     checked = price_requests(requests).withColumn("violations", violations())
-    valid = F.size("violations") == 0
+    valid = is_valid_request()
     success = valid & F.col("final_price").isNotNull()
     error = F.when(
         ~valid, F.concat(F.lit("Invalid input: "), F.array_join("violations", ", "))

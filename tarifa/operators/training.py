@@ -12,10 +12,15 @@ from tarifa.fixed_values import FEATURES
 from tarifa.functions.fare_codes import training_features
 from tarifa.operators.cleaning import clean_training_rows, trim_outliers
 from tarifa.operators.encoding import encode, feature_columns, fit_codes
+from tarifa.operators.pricing import request_features
 
 LABEL = "total_fare"
-# Request features whose text needs a code before scoring.
-SCORED_CATEGORIES = ["airline_code", "origin_city", "dest_city"]
+# Features whose text needs a code before scoring, and the request columns they come from.
+REQUEST_CATEGORIES = {
+    "airline_code": "carrier",
+    "origin_city": "startingAirport",
+    "dest_city": "destinationAirport",
+}
 
 
 def with_fare_features(ml: DataFrame) -> DataFrame:
@@ -23,12 +28,6 @@ def with_fare_features(ml: DataFrame) -> DataFrame:
     return ml.drop("flight_date_key").withColumns(training_features(F.col("fare_basis_code")))
 
 
-def training_table(ml: DataFrame, **options) -> DataFrame:
-    """Features, cleaning and trimming in order; the label and the 23 features, categories as text."""
-    clean = trim_outliers(clean_training_rows(with_fare_features(ml)), **options)
-    return clean.drop("fare_basis_code")
-
-
 def with_vector(df: DataFrame, renamed: dict[str, str] | None = None) -> DataFrame:
     """Add the feature vector and, where present, the label as a double."""
     vector = array_to_vector(F.array(feature_columns(renamed)))
@@ -96,10 +95,14 @@ def score(
     return scored if output == "prediction" else scored.withColumnRenamed("prediction", output)
 
 
-def score_requests(model: PipelineModel, codes: DataFrame, featured: DataFrame) -> DataFrame:
-    """Add ``ml_prediction`` to requests with features; categories unknown to ``codes`` count as 0."""
-    coded = encode(featured, codes, SCORED_CATEGORIES, suffix="_encoded")
-    renamed = {name: f"{name}_encoded" for name in SCORED_CATEGORIES}
+def score_requests(model: PipelineModel, codes: DataFrame, requests: DataFrame) -> DataFrame:
+    """Add the features and ``ml_prediction`` to requests with defaults.
+
+    Categories unknown to ``codes`` count as 0. The codes are joined before the features are derived,
+    while the plan below the joins is small.
+    """
+    coded = request_features(encode(requests, codes, REQUEST_CATEGORIES, suffix="_encoded"))
+    renamed = {feature: f"{name}_encoded" for feature, name in REQUEST_CATEGORIES.items()}
     return score(model, coded, renamed, "ml_prediction").drop(*renamed.values())
 
 
@@ -121,7 +124,12 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame
 
 
 def prepare(ml: DataFrame, save, **options) -> tuple[DataFrame, DataFrame]:
-    """The encoded training table and its code table, both stored through ``save(df, name)``."""
-    table = save(training_table(ml, **options), "training")
+    """The encoded training table and its code table.
+
+    The cleaned rows and the codes are stored through ``save(df, name)``: the feature table is computed
+    once, and the outlier bounds are then found and applied on single stored columns.
+    """
+    clean = save(clean_training_rows(with_fare_features(ml)).drop("fare_basis_code"), "clean")
+    table = trim_outliers(clean, **options)
     codes = save(fit_codes(table), "codes")
     return encode(table, codes), codes

@@ -303,12 +303,12 @@ def _with_outliers(t: Tables) -> DataFrame:
 
 @query
 def iqr_trim(t: Tables) -> DataFrame:
-    return cleaning.trim_outliers(_with_outliers(t))
+    return cleaning.trim_outliers(save(_with_outliers(t), "clean"))
 
 
 @query
 def iqr_bounds(t: Tables) -> DataFrame:
-    rows = _with_outliers(t)
+    rows = save(_with_outliers(t), "clean")
     names = ("total_fare", "travel_duration_minutes")
     found = [(name, *cleaning.fence(rows, name)) for name in names]
     return t.spark.createDataFrame(
@@ -318,7 +318,7 @@ def iqr_bounds(t: Tables) -> DataFrame:
 
 @query
 def cleaning_audit(t: Tables) -> DataFrame:
-    return cleaning.cleaning_audit(t.fared)
+    return cleaning.cleaning_audit(save(t.fared, "fared"))
 
 
 @query
@@ -339,10 +339,13 @@ def feature_vector(t: Tables) -> DataFrame:
 @query
 def encode_categories(t: Tables) -> DataFrame:
     """Request categories by the training codes; airport codes are no city names and become 0."""
-    featured = pricing.request_features(t.valid_requests)
-    names = training.SCORED_CATEGORIES
-    coded = encoding.encode(featured, t.prepared[1], names, suffix="_encoded")
-    return coded.select("request_id", *names, *[f"{c}_encoded" for c in names])
+    names = training.REQUEST_CATEGORIES
+    coded = encoding.encode(t.valid_requests, t.prepared[1], names, suffix="_encoded")
+    return coded.select(
+        "request_id",
+        *[F.col(column).alias(feature) for feature, column in names.items()],
+        *[F.col(f"{column}_encoded").alias(f"{feature}_encoded") for feature, column in names.items()],
+    )
 
 
 @query
@@ -437,8 +440,8 @@ def model_roundtrip(t: Tables) -> DataFrame:
     path = new_path(t.spark, "model")
     training.save_model(_small_model(t), t.prepared[1], path)
     model, codes = training.load_model(t.spark, path)
-    featured = pricing.request_features(t.valid_requests.drop("ml_prediction"))
-    priced = pricing.with_price(pricing.with_factors(training.score_requests(model, codes, featured)))
+    scored = training.score_requests(model, codes, t.valid_requests.drop("ml_prediction"))
+    priced = pricing.with_price(pricing.with_factors(scored))
     return priced.select("request_id", stable(F.col("ml_prediction")).alias("ml_prediction"), "final_price", "confidence")
 
 
@@ -451,7 +454,7 @@ def validate_requests(t: Tables) -> DataFrame:
     return checked.select(
         "request_id",
         F.array_join("violations", ",").alias("violations"),
-        (F.size("violations") == 0).alias("is_valid"),
+        pricing.is_valid_request().alias("is_valid"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.operators import dimensions, facts, training
-from tarifa.operators.pricing import violations, with_defaults
+from tarifa.operators.pricing import is_valid_request, with_defaults
 from tarifa.operators.staging import stage_flights
 from tarifa.operators.upsert import one_per_key
 from tarifa.session import save
@@ -78,7 +78,7 @@ class Tables:
 
     @cached_property
     def valid_requests(self) -> DataFrame:
-        return with_defaults(self.requests).where(F.size(violations()) == 0)
+        return with_defaults(self.requests).where(is_valid_request())
 
     @cached_property
     def first_load(self) -> DataFrame:
