@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tarifa import schemas
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
 from tarifa.session import path_exists
 
@@ -62,8 +64,15 @@ def search_month() -> Column:
     return F.date_format("search_date", "yyyy-MM")
 
 
+def staging_schema(staged: DataFrame) -> StructType:
+    """The stored schema of staged rows: their columns and the month."""
+    return staged.withColumn(MONTH, search_month()).schema
+
+
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH)
+    """The staging table under the current schema, also where it has no files yet."""
+    staged = stage_flights(spark.createDataFrame([], schemas.BRONZE))
+    return spark.read.schema(staging_schema(staged)).parquet(path).drop(MONTH)
 
 
 def _write_months(df: DataFrame, path: str, replace: str) -> None:
@@ -87,41 +96,42 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, batch_id: str)
     upserted. Only months that hold a replaced or new row are rewritten. The new content of those
     months is first stored complete beside the table under ``batch_id``; from there it is published.
     A run that failed in between is repeated under the same ``batch_id``: it only publishes again,
-    and gets the same table. Run one load per table at a time.
+    and gets the same table. The stored columns follow those of the batch: new ones are empty in old
+    rows, lost ones are dropped. Run one load per table at a time.
     """
+    schema = staging_schema(stage_flights(bronze))
     if not path_exists(spark, f"{path}/_SUCCESS"):
         first = one_per_key(stage_flights(bronze)).withColumn(MONTH, search_month())
         _write_months(first, path, "static")
         return
     stored = f"{path.rstrip('/')}_batches/{batch_id}"
     if not path_exists(spark, f"{stored}/merged/_SUCCESS"):
-        _store_merged(spark, path, bronze, stored)
-    _publish(spark, path, stored)
+        _store_merged(spark.read.schema(schema).parquet(path), bronze, stored)
+    _publish(spark.read.schema(schema).parquet(f"{stored}/merged"), path, _months(spark, stored))
 
 
-def _store_merged(spark: SparkSession, path: str, bronze: DataFrame, stored: str) -> None:
-    current = spark.read.parquet(path)
-    fresh = one_per_key(stage_flights(since_mark(bronze, current.drop(MONTH))))
+def _store_merged(current: DataFrame, bronze: DataFrame, stored: str) -> None:
+    spark = current.sparkSession
+    fresh = one_per_key(stage_flights(since_mark(bronze, current)))
     fresh.withColumn(MONTH, search_month()).write.mode("overwrite").parquet(f"{stored}/fresh")
     # Read back from files: their size decides whether the key joins below broadcast or shuffle.
-    fresh = spark.read.parquet(f"{stored}/fresh")
+    fresh = spark.read.schema(current.schema).parquet(f"{stored}/fresh")
     replaced = current.select(KEY, MONTH).join(fresh.select(KEY), KEY, "left_semi")
     touched = replaced.select(MONTH).union(fresh.select(MONTH)).distinct()
     touched.write.mode("overwrite").parquet(f"{stored}/touched")
-    merged = upsert(current.where(F.col(MONTH).isin(_months(spark, stored))), fresh)
-    _write_months(merged, f"{stored}/merged", "static")
+    rewritten = current.where(F.col(MONTH).isin(_months(spark, stored)))
+    _write_months(upsert(rewritten, fresh), f"{stored}/merged", "static")
 
 
-def _publish(spark: SparkSession, path: str, stored: str) -> None:
-    merged = spark.read.parquet(f"{stored}/merged")
+def _publish(merged: DataFrame, path: str, touched: list[str]) -> None:
     kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
     if kept:
         _write_months(merged, path, "dynamic")
-    for month in set(_months(spark, stored)) - kept:
+    for month in set(touched) - kept:
         # A month left without rows: overwrite its folder with an empty file.
         merged.drop(MONTH).limit(0).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
 
 
 def _months(spark: SparkSession, stored: str) -> list[str]:
     """Months to rewrite: bounded by the calendar, not by the number of rows."""
-    return [row[0] for row in spark.read.parquet(f"{stored}/touched").collect()]
+    return [row[0] for row in spark.read.schema(f"{MONTH} string").parquet(f"{stored}/touched").collect()]
