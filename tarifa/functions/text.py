@@ -25,9 +25,14 @@ def split_list(value: Column) -> Column:
     return F.split(value, SEPARATOR_REGEX)
 
 
-def list_item(value: Column, position: int) -> Column:
-    """The 1-based item of a delimited text; negative positions count from the end."""
-    return F.split_part(value, F.lit(SEPARATOR), F.lit(position))
+def first_item(value: Column) -> Column:
+    """The first item of a delimited text."""
+    return F.substring_index(value, SEPARATOR, 1)
+
+
+def last_item(value: Column) -> Column:
+    """The last item of a delimited text."""
+    return F.substring_index(value, SEPARATOR, -1)
 
 
 def list_join(*parts: Column) -> Column:

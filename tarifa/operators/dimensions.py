@@ -25,7 +25,7 @@ def calendar(
     )
     day = F.col("date_day")
     year, quarter, weekday = F.year(day), F.quarter(day), F.dayname(day)
-    return days.join(F.broadcast(holidays), day == F.col("holiday_date"), "left").select(
+    return days.join(holidays, day == F.col("holiday_date"), "left").select(
         date_key(day).alias("date_key"),
         day,
         year.alias("year"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarifa.functions.numbers import whole_number
-from tarifa.functions.text import airport_code, duration_minutes, list_item, split_list
+from tarifa.functions.text import airport_code, duration_minutes, first_item, last_item, split_list
 
 # Segment columns that only change their name: staging name -> raw name.
 SEGMENT_COLUMNS = {
@@ -66,10 +66,10 @@ def derive_flights(parsed: DataFrame) -> DataFrame:
         {
             "days_until_flight": F.datediff("flight_date", "search_date"),
             "num_segments": F.size(split_list(F.col("segments_airline_codes"))),
-            "first_departure_epoch": list_item(F.col("segments_departure_epoch"), 1),
-            "last_arrival_epoch": list_item(F.col("segments_arrival_epoch"), -1),
-            "primary_carrier": list_item(F.col("segments_airline_codes"), 1),
-            "primary_cabin": list_item(F.col("segments_cabin_codes"), 1),
+            "first_departure_epoch": first_item(F.col("segments_departure_epoch")),
+            "last_arrival_epoch": last_item(F.col("segments_arrival_epoch")),
+            "primary_carrier": first_item(F.col("segments_airline_codes")),
+            "primary_cabin": first_item(F.col("segments_cabin_codes")),
             "taxes_and_fees": (F.col("total_fare") - F.col("base_fare")).cast("decimal(10,2)"),
         }
     )

@@ -13,6 +13,7 @@ from tarifa.functions.fare_codes import training_features
 from tarifa.operators.cleaning import clean_training_rows, trim_outliers
 from tarifa.operators.encoding import encode, feature_columns, fit_codes
 from tarifa.operators.pricing import request_features
+from tarifa.session import shared_folder
 
 LABEL = "total_fare"
 # Features whose text needs a code before scoring, and the request columns they come from.
@@ -79,6 +80,7 @@ def random_forest(trees: int = 100, depth: int = 10, share: float = 0.8, seed: i
 
 def fit(encoded: DataFrame, regressor) -> PipelineModel:
     """Train on a table with encoded features and ``total_fare``."""
+    shared_folder(encoded.sparkSession)  # names the checkpoint folder where none is set
     labelled = with_vector(encoded).withColumn("label", F.col(LABEL).cast("double"))
     extra = ["is_test"] if "is_test" in encoded.columns else []
     return Pipeline(stages=[regressor]).fit(labelled.select("features", "label", *extra))

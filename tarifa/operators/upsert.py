@@ -47,9 +47,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def classify_arrivals(bronze: DataFrame, target: DataFrame) -> DataFrame:
-    """Raw rows by what an incremental load does with them: late, invalid, replaced or added."""
+    """Raw rows by what an incremental load does with them: late, invalid, replaced or added.
+
+    ``target`` has one row per key, as a loaded table does.
+    """
     mark = high_water_mark(target).scalar()
-    known = target.select(F.col(KEY).alias("known_id")).distinct()
+    known = target.select(F.col(KEY).alias("known_id"))
     rows = derive_flights(parse_flights(bronze)).join(known, F.col(KEY) == F.col("known_id"), "left")
     outcome = (
         F.when(F.col("search_date") < mark, "late")

@@ -260,7 +260,7 @@ def route_distance_lookup(t: Tables) -> DataFrame:
 @query
 def high_water_mark(t: Tables) -> DataFrame:
     """The mark of the first load, with the later raw rows on each side of it."""
-    mark = upsert.high_water_mark(t.first_load)
+    mark = upsert.high_water_mark(t.early)
     arrivals = t.requoted.where(F.col("SEARCHDATE") >= mark.scalar())
     return mark.withColumn(
         "eligible_rows", arrivals.agg(F.count(F.lit(1)).alias("eligible_rows")).scalar()

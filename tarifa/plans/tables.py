@@ -80,10 +80,14 @@ class Tables:
     def valid_requests(self) -> DataFrame:
         return with_defaults(self.requests).where(is_valid_request())
 
+    @cached_property
+    def early(self) -> DataFrame:
+        """Staged rows of the first load, copies included."""
+        return self.staging.where(F.col("search_date") < F.lit(FIRST_LOAD_END).cast("date"))
+
     @cached_property
     def first_load(self) -> DataFrame:
-        early = self.staging.where(F.col("search_date") < F.lit(FIRST_LOAD_END).cast("date"))
-        return one_per_key(early)
+        return one_per_key(self.early)
 
     @cached_property
     def requoted(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.functions.text import airport_code, duration_minutes, list_item, parse_prices, pick, split_list
+from tarifa.functions.text import airport_code, duration_minutes, first_item, parse_prices, pick, split_list
 
 SEASONS = ["peak_summer", "peak_winter", "shoulder", "standard", "off_season", "carnival"]
 
@@ -22,7 +22,7 @@ def derive_requests(bronze: DataFrame) -> DataFrame:
     offers = F.concat(price(0.1, 7), F.lit(", n/a, "), price(0.2, 4), F.lit(" USD"))
     hour = F.expr("(cast(departure as bigint) div 3600) % 24").cast("int")
     return bronze.withColumn(
-        "departure", list_item(F.col("SEGMENTSDEPARTURETIMEEPOCHSECONDS"), 1)
+        "departure", first_item(F.col("SEGMENTSDEPARTURETIMEEPOCHSECONDS"))
     ).select(
         F.col("LEGID").alias("request_id"),
         F.when(case == 11, F.lit(None))
@@ -40,7 +40,7 @@ def derive_requests(bronze: DataFrame) -> DataFrame:
         F.when(case == 15, F.lit(7))
         .otherwise(F.size(split_list(F.col("SEGMENTSAIRLINECODE"))))
         .alias("numSegments"),
-        F.when(seats % 13 != 5, list_item(F.col("SEGMENTSAIRLINECODE"), 1)).alias("carrier"),
+        F.when(seats % 13 != 5, first_item(F.col("SEGMENTSAIRLINECODE"))).alias("carrier"),
         F.when(case == 16, F.lit(24)).when(seats % 11 != 3, hour).alias("departureHour"),
         F.col("ISBASICECONOMY").alias("isBasicEconomy"),
         F.when(seats % 17 != 0, F.col("ISNONSTOP")).alias("isNonStop"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarifa.functions import rules
 from tarifa.functions.fare_codes import scoring_features, training_features
 from tarifa.functions.numbers import cents, iso_date, percent_label, whole_number
-from tarifa.functions.text import airport_code, duration_minutes, list_item, parse_prices, split_list
+from tarifa.functions.text import airport_code, duration_minutes, first_item, last_item, parse_prices, split_list
 
 
 def values(spark, rows, schema, column):
@@ -29,8 +29,8 @@ def test_duration(spark):
 
 def test_lists(spark):
     rows = [("a||b||c",), ("a",), ("",), ("a||",), (None,)]
-    assert values(spark, rows, "x string", list_item(F.col("x"), 1)) == ["a", "a", "", "a", None]
-    assert values(spark, rows, "x string", list_item(F.col("x"), -1)) == ["c", "a", "", "", None]
+    assert values(spark, rows, "x string", first_item(F.col("x"))) == ["a", "a", "", "a", None]
+    assert values(spark, rows, "x string", last_item(F.col("x"))) == ["c", "a", "", "", None]
     assert values(spark, rows, "x string", F.size(split_list(F.col("x")))) == [3, 1, 1, 2, None]
     assert values(spark, [(" jfk ",)], "x string", airport_code(F.col("x"))) == ["JFK"]
 
