@@ -1,6 +1,6 @@
 """Command line: generate raw rows, run the daily refresh, train a model, price requests.
 
-    spark-submit -m tarifa generate --root /data/fares --records 1000
+    python -m tarifa generate --root /data/fares --records 1000
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ def main(arguments: list[str] | None = None) -> None:
         if name == "generate":
             command.add_argument("--records", type=int, default=1000)
             command.add_argument("--search-date")
-            command.add_argument("--seed", type=int, default=42)
+            command.add_argument("--seed", type=int)
         if name in ("train", "price"):
             command.add_argument("--model", required=True)
         if name == "train":

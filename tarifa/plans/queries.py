@@ -130,7 +130,7 @@ def materialize_table(t: Tables) -> DataFrame:
 @query
 def clustered_write(t: Tables) -> DataFrame:
     path = new_path(t.spark, "fact")
-    return tables.write_clustered(t.fact, path, ["date_key", "airline_key"], spread="leg_id")
+    return tables.write_clustered(t.fact, path, ["date_key", "airline_key"], spread=["leg_id"])
 
 
 @query

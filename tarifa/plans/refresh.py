@@ -15,7 +15,13 @@ from tarifa.sources import generator, seeds
 from tarifa.sources.tables import append_bronze, read_bronze, write_clustered, write_table
 
 
-def ingest(spark: SparkSession, root: str, records: int = 1000, search_date: str | None = None, seed: int = 42) -> int:
+def ingest(
+    spark: SparkSession,
+    root: str,
+    records: int = 1000,
+    search_date: str | None = None,
+    seed: int | None = None,
+) -> int:
     """Append generated itineraries to the raw table; returns the rows added."""
     batch = generator.generate_batch(spark, records, search_date, seed)
     return append_bronze(batch, f"{root}/raw")
@@ -43,15 +49,12 @@ def refresh(spark: SparkSession, root: str, run_id: str | None = None) -> str:
         facts.flight_prices(staging),
         f"{build}/flight_prices",
         ["date_key", "airline_key"],
-        spread="leg_id",
+        spread=["leg_id"],
         mode="overwrite",
     )
+    wide = facts.ml_features(fact, calendar, airlines, airports)
     ml = write_clustered(
-        facts.ml_features(fact, calendar, airlines, airports),
-        f"{build}/ml_features",
-        ["flight_date_key"],
-        spread="total_fare",
-        mode="overwrite",
+        wide, f"{build}/ml_features", ["flight_date_key"], spread=wide.columns, mode="overwrite"
     )
     report = quality.check_tables(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,14 @@ DRAWS = [
 ]
 
 
-def generate_batch(spark: SparkSession, records: int = 1000, search_date: str | None = None, seed: int = 42) -> DataFrame:
-    """``records`` itineraries searched on one date, today by default."""
+def generate_batch(
+    spark: SparkSession, records: int = 1000, search_date: str | None = None, seed: int | None = None
+) -> DataFrame:
+    """``records`` itineraries searched on one date, today by default.
+
+    Without a seed every call draws new itineraries with new ids.
+    """
+    seed = random.randrange(2**48) if seed is None else seed
     day = F.current_date() if search_date is None else F.lit(search_date).cast("date")
     keys = spark.range(records).select(F.col("id").cast("string").alias("key"), day.alias("day"))
     return generate_itineraries(keys, "key", "day", seed)

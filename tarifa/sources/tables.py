@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarifa import schemas
-from tarifa.session import path_exists
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,8 +38,6 @@ def csv_to_parquet(
     Files are split over tasks; an empty field is null, quoted or not. ``multi_line`` allows line breaks inside quotes, at the price of one
     task per file. The count is taken from the write itself, not by reading the file a second time.
     """
-    from pyspark.sql import Observation
-
     written = Observation()
     rows = spark.read.schema(schema).csv(csv_path, header=True, multiLine=multi_line, escape='"')
     rows.observe(written, F.count(F.lit(1)).alias("records")).write.mode("overwrite").option(
@@ -73,8 +70,6 @@ def as_bronze(df: DataFrame, loaded_at: str | None = None) -> DataFrame:
 
 def append_bronze(df: DataFrame, path: str, loaded_at: str | None = None) -> int:
     """Append a batch to the raw table, creating it if absent; returns the number of rows added."""
-    from pyspark.sql import Observation
-
     added = Observation()
     rows = as_bronze(df, loaded_at).observe(added, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("append").parquet(path)
@@ -91,7 +86,7 @@ def write_clustered(
     df: DataFrame,
     path: str,
     keys: list[str],
-    spread: str,
+    spread: list[str],
     partitions: int | None = None,
     mode: str = "error",
 ) -> DataFrame:
@@ -100,7 +95,7 @@ def write_clustered(
     A hash of ``spread`` comes last in the range, so rows of one hot key fill several files instead
     of one task.
     """
-    order = [F.col(k) for k in keys] + [F.xxhash64(spread)]
+    order = [F.col(k) for k in keys] + [F.xxhash64(*spread)]
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return write_table(ranged.sortWithinPartitions(*keys), path, mode)
 
@@ -114,7 +109,3 @@ def sync_schema(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)

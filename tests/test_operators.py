@@ -145,8 +145,10 @@ def test_interrupted_publish_is_repeated(spark, raw, monkeypatch):
 
 
 def test_generated_rows_keep_their_ranges(spark):
-    batch = generator.generate_batch(spark, 2000, "2025-03-01")
-    assert rows_of(batch) == rows_of(generator.generate_batch(spark, 2000, "2025-03-01"))
+    batch = generator.generate_batch(spark, 2000, "2025-03-01", seed=9)
+    assert rows_of(batch) == rows_of(generator.generate_batch(spark, 2000, "2025-03-01", seed=9))
+    other = generator.generate_batch(spark, 2000, "2025-03-01")
+    assert batch.join(other, "LEGID", "left_semi").count() == 0
     rows = batch.collect()
     assert len({r.LEGID for r in rows}) == 2000
     for r in rows:
@@ -269,7 +271,7 @@ def test_checks_find_and_stop(spark):
 def test_clustered_files_split_a_hot_key(spark):
     hot = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("row"))
     path = new_path(spark, "hot")
-    tables.write_clustered(hot, path, ["k"], spread="row", partitions=4)
+    tables.write_clustered(hot, path, ["k"], spread=["row"], partitions=4)
     files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     assert len(files) == 4 and max(f["count"] for f in files) < 2000
 
