@@ -21,9 +21,11 @@ from tarifa.session import new_path
 
 SEQUENCE_TOKENS = 4096
 END_OF_DOCUMENT = 2
-# Words whose ids a task remembers, and the longest of them in bytes: at most about 80 MB.
-KNOWN_WORDS = 400_000
+# Words, and parts of words, whose ids a task remembers, and the longest of them in bytes: at most about 300 MB.
+KNOWN_WORDS = 800_000
 KNOWN_WORD_BYTES = 48
+# Trailing ASCII punctuation is a token run of its own after a letter or digit.
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 _encoders: dict[str, Callable[[list[bytes]], list[bytes]]] = {}
 
@@ -31,8 +33,9 @@ _encoders: dict[str, Callable[[list[bytes]], list[bytes]]] = {}
 def _encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     """A function from texts to their ids as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its words, and the ids of a
-    word are computed once as long as the word is remembered.
+    The tokenizer drops white space, ignores case and never joins across white space or between letters and punctuation. So the
+    ids of a text are those of its words, the ids of a word those of its stem and its trailing punctuation, and each is computed
+    once as long as it is remembered.
     """
     if path in _encoders:
         return _encoders[path]
@@ -40,21 +43,67 @@ def _encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    ends_word = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    words_known: dict[bytes, bytes] = {}
+    parts_known: dict[bytes, bytes] = {b"": b""}
+
+    def alone(parts: list[bytes]) -> dict[bytes, bytes]:
+        found = tokenizer.encode_batch_fast([part.decode() for part in parts], add_special_tokens=False)
+        return {part: np.array(item.ids, "<u4").tobytes() for part, item in zip(parts, found)}
+
+    def together(parts: list[bytes]) -> dict[bytes, bytes]:
+        """Parts made of letters only: one word each, so the word ends in the ids of all tell them apart."""
+        item = tokenizer.encode_batch_fast([" ".join(part.decode() for part in parts)], add_special_tokens=False)[0]
+        ids = np.array(item.ids, "<u4")
+        ends = np.flatnonzero(ends_word[ids]) + 1
+        if len(ends) != len(parts):
+            return alone(parts)
+        data, stops = ids.tobytes(), (4 * ends).tolist()
+        return {part: data[a:b] for part, a, b in zip(parts, [0, *stops], stops)}
+
+    def resolve(words: list[bytes]) -> list[bytes]:
+        stems, tails = [], []
+        for word in words:
+            lower = word.lower()
+            stem = lower.rstrip(_PUNCTUATION)
+            if b"<|" in word:  # may hold the text of a special token, which is matched as it stands
+                stem, lower = word, word
+            elif not stem[-1:].isalnum():
+                stem = lower
+            stems.append(stem)
+            tails.append(lower[len(stem) :])
+        new = {*stems, *tails} - parts_known.keys()
+        if len(parts_known) + len(new) > KNOWN_WORDS:
+            parts_known.clear()
+            parts_known[b""] = b""
+            new = {*stems, *tails} - {b""}
+        letters = [part for part in new if part.decode().isalpha()]
+        for i in range(0, len(letters), 1000):
+            parts_known.update(together(letters[i : i + 1000]))
+        parts_known.update(alone([part for part in new if part not in parts_known]))
+        found = [parts_known[stem] + parts_known[tail] for stem, tail in zip(stems, tails)]
+        for part in new:
+            if len(part) > KNOWN_WORD_BYTES:
+                del parts_known[part]
+        return found
 
     def encode(values: list[bytes]) -> list[bytes]:
         split = [value.split() for value in values]
-        new = list({word for words in split for word in words if word not in known})
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = list({word for words in split for word in words})
-        found = tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        known.update((word, np.array(item.ids, "<u4").tobytes()) for word, item in zip(new, found))
-        ids = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
+        found = [list(map(words_known.get, words)) for words in split]
+        missing = list({word for words, own in zip(split, found) if None in own for word, ids in zip(words, own) if ids is None})
+        if len(words_known) + len(missing) > KNOWN_WORDS:
+            words_known.clear()
+        fresh = dict(zip(missing, resolve(missing)))
+        for words, own in zip(split, found):
+            if None in own:
+                own[:] = [ids if ids is not None else fresh[word] for word, ids in zip(words, own)]
+        words_known.update(fresh)
+        for word in missing:
             if len(word) > KNOWN_WORD_BYTES:
-                del known[word]
-        return ids
+                del words_known[word]
+        return [b"".join(own) for own in found]
 
     _encoders[path] = encode
     return encode
@@ -116,7 +165,8 @@ def pack(
     )
     n = F.lit(sequence_tokens).cast("long")
     first, last = F.floor(F.col("at") / n), F.floor((F.col("at") + F.col("tokens") - 1) / n)
-    placed = stored.join(offsets, "part").withColumn("at", F.col("base") + F.col("before"))
+    # One row per input split of the first pass, so small whatever the documents hold.
+    placed = stored.join(F.broadcast(offsets), "part").withColumn("at", F.col("base") + F.col("before"))
     cut = placed.withColumn("sequence_id", F.explode(F.sequence(first, last)))
     start = F.greatest(F.lit(0), F.col("sequence_id") * n - F.col("at"))
     length = F.least(F.col("tokens"), (F.col("sequence_id") + 1) * n - F.col("at")) - start
