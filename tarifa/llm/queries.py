@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import decontaminate, lines, packing, simhash
+from tarifa.llm import decontaminate, language, licenses, lines, packing, ppm, quality, rules, simhash, suffixes
 from tarifa.llm.oracles import ORACLES  # noqa: F401
 from tarifa.sources.tables import read_table
 
@@ -20,6 +20,61 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _remainder(parts: int) -> Column:
+    """The CRC-32 of the id as text, modulo ``parts``; -1 without an id."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(parts)), F.lit(-1))
+
+
+def document_evidence(docs: DataFrame) -> DataFrame:
+    """``docs`` with the evidence columns of language identification: their declared language and, as host, their source."""
+    nothing = F.lit(None).cast("string")
+    return docs.withColumns({"declared": F.col("lang"), "host": F.col("source"), "parent": nothing, "suffix": nothing})
+
+
+def document_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(document_evidence(docs)).drop("text").withColumn("probability", F.round("probability", 9))
+
+
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over web pages, with declared markup language, host, parent domain and address suffix."""
+    pages = read_table(spark, folder, "pages")
+    fields = {**language.page_fields(F.col("html")), **language.address_parts(F.col("url"))}
+    found = language.identify(pages.select("page_id", *[c.alias(n) for n, c in fields.items()]))
+    return found.drop("text").withColumn("probability", F.round("probability", 9))
+
+
+def licenses_found(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read_table(spark, folder, "documents"))
+
+
+def scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = _remainder(5) == 1
+    found = ppm.score(read_table(spark, folder, "documents"), ~held_out)
+    return found.withColumn("held_out", ~F.col("train")).drop("train")
+
+
+def repeats_dropped(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.drop_repeats(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def rules_judged(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judge(read_table(spark, folder, "documents").select("doc_id", "text"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *counts, "base_failed", "kept", F.round("posterior", 9).alias("posterior"))
+
+
+def quality_scored(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    held_out = _remainder(4) == 2
+    model = quality.fit(docs, read_table(spark, folder, "labels"), ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def packed(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, folder, "documents"), tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -48,8 +103,15 @@ def near_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": document_languages,
+    "op2_license_scan": licenses_found,
     "op3_packing": packed,
+    "op4_ppm_score": scores,
+    "op5_suffix_array_dedup": repeats_dropped,
+    "op6_quality_rules": rules_judged,
     "op7_line_dedup": lines_dropped,
     "op8_benchmark_decontamination": contaminated,
     "op9_simhash_near_dedup": near_copies,
+    "op10_quality_classifier": quality_scored,
+    "pages_language_id": page_languages,
 }
