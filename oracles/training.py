@@ -150,13 +150,21 @@ ML_COLUMNS = [
     "flight_year", "flight_month", "flight_day_of_week", "is_weekend", "is_holiday", "is_basic_economy",
     "is_non_stop", "is_refundable",
 ]
-SHARE = (
-    "CAST(('0x' || substr(md5(concat_ws('|', '42', "
-    + ", ".join(f"CAST({c} AS VARCHAR)" for c in ML_COLUMNS)
-    + ")), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
+
+
+def share(purpose: str, columns: list[str]) -> str:
+    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    return f"CAST(('0x' || substr(md5(concat_ws('|', '{purpose}', '42', {texts})), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
+
+
+oracle(
+    "sample_30",
+    f"""SELECT * EXCLUDE (copy_number)
+FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(ML_COLUMNS)}) AS copy_number FROM ml)
+WHERE {share("sample", [*ML_COLUMNS, "copy_number"])} < CAST(0.3 AS DOUBLE)""",
+    "ml",
 )
-oracle("sample_30", f"SELECT * FROM ml WHERE {SHARE} < CAST(0.3 AS DOUBLE)", "ml")
-oracle("train_test_split", f"SELECT *, {SHARE} < CAST(0.1 AS DOUBLE) AS is_test FROM ml", "ml")
+oracle("train_test_split", f"SELECT *, {share('split', ML_COLUMNS)} < CAST(0.1 AS DOUBLE) AS is_test FROM ml", "ml")
 oracle(
     "preview",
     "SELECT * FROM ml ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in ML_COLUMNS) + " LIMIT 5",

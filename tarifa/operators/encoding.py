@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarifa.fixed_values import ENCODED_FEATURES, FEATURES, MISSING_CATEGORY
-
-PREFIX_LENGTH = 2
+from tarifa.session import save
 
 
 def category_text(name: str) -> Column:
@@ -17,23 +16,20 @@ def category_text(name: str) -> Column:
 def fit_codes(df: DataFrame, columns: list[str] = ENCODED_FEATURES) -> DataFrame:
     """The code table: feature, value and code, where codes number the sorted distinct values from 0.
 
-    One pass counts the values of all columns. Codes are numbered within the groups of values that
-    share their first characters, after the number of values in earlier groups, so that a long value
-    list is not sorted in one task.
+    One pass counts the values of all columns. The distinct values are stored in ranges of feature and
+    value, and numbered inside each range after the number of values in the ranges before, so that a
+    long value list is sorted in as many tasks as there are ranges, whatever the values have in common.
     """
     pairs = F.array(
         [F.struct(F.lit(c).alias("feature"), category_text(c).alias("value")) for c in columns]
     )
-    values = (
-        df.select(F.inline(pairs))
-        .distinct()
-        .withColumn("prefix", F.substring("value", 1, PREFIX_LENGTH))
-    )
-    sizes = values.groupBy("feature", "prefix").agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy("feature").orderBy("prefix")
+    values = df.select(F.inline(pairs)).distinct().repartitionByRange("feature", "value")
+    values = save(values.withColumn("range", F.spark_partition_id()), "categories")
+    sizes = values.groupBy("feature", "range").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.partitionBy("feature").orderBy("range")
     starts = sizes.withColumn("start", F.sum("size").over(earlier) - F.col("size")).drop("size")
-    within = Window.partitionBy("feature", "prefix").orderBy("value")
-    return values.join(starts, ["feature", "prefix"]).select(
+    within = Window.partitionBy("feature", "range").orderBy("value")
+    return values.join(starts, ["feature", "range"]).select(
         "feature",
         "value",
         (F.col("start") + F.row_number().over(within) - 1).cast("int").alias("code"),

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tarifa.session import save
 
-CUTS = 255
-# Up to this many distinct values are sorted in one task.
-SMALL = 100_000
-
 
 def quantiles(
     df: DataFrame, column: str, shares: list[float], interpolation: str = "linear"
@@ -20,26 +16,25 @@ def quantiles(
     """The exact quantiles of ``column``; null values are left out.
 
     Rows are counted per distinct value, with partial counts on the map side, and the counts are
-    stored: the table is read once. Many stored values are then cut into 256 ranges of similar size,
-    and only the ranges that hold a wanted rank are sorted, each in a task of its own. The driver
-    sees the cuts, one total per range and one value per rank. ``interpolation`` is ``linear`` or
-    ``nearest``.
+    stored in ranges of values: the table is read once. Only the ranges that hold a wanted rank are
+    sorted, each in a task of its own; there are as many ranges as shuffle partitions. The driver
+    sees one total per range and one value per rank. ``interpolation`` is ``linear`` or ``nearest``.
     """
-    counts = save(
+    counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n")),
-        "value_counts",
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    distinct, rows = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+    ranged = save(counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "value_counts")
+    sizes = dict(ranged.groupBy("range").agg(F.sum("n")).collect())
+    rows = sum(sizes.values())
     if not rows:
         return [None for _ in shares]
     positions = [share * (rows - 1) for share in shares]
     if interpolation == "nearest":
         positions = [float(math.floor(position + 0.5)) for position in positions]
     wanted = sorted({f(position) for position in positions for f in (math.floor, math.ceil)})
-    buckets = counts.withColumn("bucket", F.lit(0)) if distinct <= SMALL else _cut(counts)
-    value_at = _values_at(buckets, wanted, single=distinct <= SMALL)
+    value_at = _values_at(ranged, sizes, wanted)
     results = []
     for position in positions:
         low, high = value_at[math.floor(position)], value_at[math.ceil(position)]
@@ -47,28 +42,17 @@ def quantiles(
     return results
 
 
-def _cut(counts: DataFrame) -> DataFrame:
-    """Number the ranges between approximate quantiles of the distinct values."""
-    inside = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-    cuts = sorted(set(counts.agg(F.percentile_approx("value", inside, 10000)).first()[0]))
-    edges = F.expr("array(" + ", ".join(f"double('{cut!r}')" for cut in cuts) + ")")
-    return counts.withColumn("bucket", F.size(F.filter(edges, lambda cut: cut < F.col("value"))))
-
-
-def _values_at(buckets: DataFrame, ranks: list[int], single: bool) -> dict[int, float]:
+def _values_at(ranged: DataFrame, sizes: dict[int, int], ranks: list[int]) -> dict[int, float]:
     """The values at 0-based ranks of the sorted rows."""
-    starts = {0: 0}
-    if not single:
-        sizes = dict(buckets.groupBy("bucket").agg(F.sum("n")).collect())
-        starts, start = {}, 0
-        for bucket in sorted(sizes):
-            if any(start <= rank < start + sizes[bucket] for rank in ranks):
-                starts[bucket] = start
-            start += sizes[bucket]
-    first_rank = F.create_map([F.lit(x) for pair in starts.items() for x in pair])[F.col("bucket")]
-    running = Window.partitionBy("bucket").orderBy("value")
+    starts, start = {}, 0
+    for number in sorted(sizes):
+        if any(start <= rank < start + sizes[number] for rank in ranks):
+            starts[number] = start
+        start += sizes[number]
+    first_rank = F.create_map([F.lit(x) for pair in starts.items() for x in pair])[F.col("range")]
+    running = Window.partitionBy("range").orderBy("value")
     ranked = (
-        buckets.where(F.col("bucket").isin(list(starts)))
+        ranged.where(F.col("range").isin(list(starts)))
         .withColumn("end", first_rank + F.sum("n").over(running))
         .withColumn("rank", F.explode(F.array([F.lit(rank) for rank in ranks])))
         .where((F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import datetime as dt
+import uuid
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarifa import schemas
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
-from tarifa.session import path_exists
+from tarifa.session import path_exists, remove_path
 
 KEY = "leg_id"
 MONTH = "search_month"
@@ -19,10 +23,17 @@ def high_water_mark(target: DataFrame, column: str = "search_date") -> DataFrame
     return target.agg(F.max(column).alias("high_water_mark"))
 
 
-def since_mark(bronze: DataFrame, target: DataFrame) -> DataFrame:
-    """Raw rows not older than the newest staged search date. An empty target lets all rows in."""
-    mark = high_water_mark(target).scalar()
-    return bronze.where(F.col("SEARCHDATE") >= F.coalesce(mark, F.lit("0001-01-01").cast("date")))
+def newest_date(table: DataFrame, column: str = "search_date") -> dt.date | None:
+    """The greatest value of ``column`` in a staging table, read from its newest month that has rows."""
+    if MONTH in table.columns:
+        month = table.agg(F.max(MONTH)).first()[0]
+        table = table.where(F.col(MONTH) == F.lit(month))
+    return table.agg(F.max(column)).first()[0]
+
+
+def since_mark(bronze: DataFrame, mark: dt.date | None) -> DataFrame:
+    """Raw rows not older than ``mark``, a literal that scans use to skip folders and files; without a mark, all rows."""
+    return bronze if mark is None else bronze.where(F.col("SEARCHDATE") >= F.lit(mark))
 
 
 def one_per_key(df: DataFrame, key: str = KEY, newest: str = "search_date") -> DataFrame:
@@ -78,8 +89,8 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(staging_schema(staged)).parquet(path).drop(MONTH)
 
 
-def _write_months(df: DataFrame, path: str, replace: str) -> None:
-    """Write by month: ``replace`` is ``static`` for the whole table, ``dynamic`` for the months in ``df``.
+def _write_months(df: DataFrame, path: str) -> None:
+    """Write the months in ``df``, each replaced as a whole; other months stay.
 
     The rebalance hint splits a hot month over tasks and merges small ones.
     """
@@ -87,52 +98,106 @@ def _write_months(df: DataFrame, path: str, replace: str) -> None:
         df.hint("rebalance", MONTH)
         .write.mode("overwrite")
         .partitionBy(MONTH)
-        .option("partitionOverwriteMode", replace)
+        .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
 
-def load_batch(spark: SparkSession, path: str, bronze: DataFrame, batch_id: str) -> None:
+LEDGER = "sequence long, load_id string, state string, mark date, input_rows long, input_hash decimal(38,0), stored string"
+
+
+class Ledger:
+    """The loads of one table, in order: each is ``merged`` once its content is stored, then ``published``.
+
+    Rows are appended to a folder beside the table, and a row counts once it can be read. No marker file is needed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.folder = f"{path.rstrip('/')}_loads"
+        self.rows = []
+        if path_exists(spark, self.folder):
+            self.rows = sorted(spark.read.schema(LEDGER).parquet(self.folder).collect(), key=lambda r: (r["sequence"], r["state"]))
+
+    def states(self, load_id: str) -> dict:
+        return {row["state"]: row for row in self.rows if row["load_id"] == load_id}
+
+    def pending(self):
+        """The last load if its content is stored but not published."""
+        last = self.rows[-1] if self.rows else None
+        return last if last is not None and last["state"] == "merged" else None
+
+    def add(self, **row) -> None:
+        added = self.spark.createDataFrame([tuple(row[field.split()[0]] for field in LEDGER.split(", "))], LEDGER)
+        added.coalesce(1).write.mode("append").parquet(self.folder)
+        self.rows = self.rows + [added.first()]
+
+
+def _fingerprint(bronze: DataFrame, mark: dt.date | None) -> tuple[int, Decimal]:
+    """Rows that a load looks at, and a sum over their hashes, whatever their order. The load time does not count."""
+    rows = since_mark(bronze, mark).drop("_LOADED_AT")
+    hashed = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
+    return tuple(rows.agg(F.count(F.lit(1)), F.coalesce(hashed, F.lit(0).cast("decimal(38,0)"))).first())
+
+
+def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str) -> None:
     """Load raw rows into the staging table at ``path``, which is stored by search month.
 
-    Rows before the high-water mark are ignored, the rest are staged, reduced to one row per key and
-    upserted. Only months that hold a replaced or new row are rewritten. The new content of those
-    months is first stored complete beside the table under ``batch_id``; from there it is published.
-    A run that failed in between is repeated under the same ``batch_id``: it only publishes again,
-    and gets the same table. The stored columns follow those of the batch: new ones are empty in old
-    rows, lost ones are dropped. Run one load per table at a time.
+    Rows before the high-water mark are ignored, the rest are staged, reduced to one row per key and upserted. Only months that
+    hold a replaced or new row are rewritten. Their new content is first stored complete beside the table and noted in the ledger of
+    loads; from there it is published. A load that failed before that note starts anew; a load that failed after it is published
+    by the next one, under whatever id. A finished ``load_id`` is not loaded again: with the input it had, nothing happens, with
+    other input it is an error. The stored columns follow those of the batch: new ones are empty in old rows, lost ones are
+    dropped. Content stored for a load is removed once it is published. Run one load per table at a time.
     """
     schema = staging_schema(stage_flights(bronze))
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        first = one_per_key(stage_flights(bronze)).withColumn(MONTH, search_month())
-        _write_months(first, path, "static")
+    ledger = Ledger(spark, path)
+    if pending := ledger.pending():
+        _finish(ledger, pending, path, schema)
+    if known := ledger.states(load_id).get("merged"):
+        if _fingerprint(bronze, known["mark"]) != (known["input_rows"], known["input_hash"]):
+            raise ValueError(f"load {load_id!r} of {path} is finished and had other input; use a new id")
         return
-    stored = f"{path.rstrip('/')}_batches/{batch_id}"
-    if not path_exists(spark, f"{stored}/merged/_SUCCESS"):
-        _store_merged(spark.read.schema(schema).parquet(path), bronze, stored)
-    _publish(spark.read.schema(schema).parquet(f"{stored}/merged"), path, _months(spark, stored))
-
-
-def _store_merged(current: DataFrame, bronze: DataFrame, stored: str) -> None:
+    if path_exists(spark, path):
+        current = spark.read.schema(schema).parquet(path)
+    else:
+        current = spark.createDataFrame([], schema)
+    mark = newest_date(current)
+    rows, hashed = _fingerprint(bronze, mark)
+    stored = f"{path.rstrip('/')}_batches/{uuid.uuid4().hex}"
+    _store_merged(current, since_mark(bronze, mark), stored)
+    entry = {"sequence": len(ledger.rows), "load_id": load_id, "mark": mark, "input_rows": rows, "input_hash": hashed, "stored": stored}
+    ledger.add(state="merged", **entry)
+    _finish(ledger, ledger.pending(), path, schema)
+
+
+def _finish(ledger: Ledger, pending: Row, path: str, schema: StructType) -> None:
+    spark, stored = ledger.spark, pending["stored"]
+    touched = _months(spark, stored)
+    _publish(spark.read.schema(schema).parquet(f"{stored}/merged"), path, touched)
+    ledger.add(**{**pending.asDict(), "state": "published"})
+    remove_path(spark, stored)
+
+
+def _store_merged(current: DataFrame, arrived: DataFrame, stored: str) -> None:
     spark = current.sparkSession
-    fresh = one_per_key(stage_flights(since_mark(bronze, current)))
-    fresh.withColumn(MONTH, search_month()).write.mode("overwrite").parquet(f"{stored}/fresh")
+    fresh = one_per_key(stage_flights(arrived))
+    fresh.withColumn(MONTH, search_month()).write.parquet(f"{stored}/fresh")
     # Read back from files: their size decides whether the key joins below broadcast or shuffle.
     fresh = spark.read.schema(current.schema).parquet(f"{stored}/fresh")
     replaced = current.select(KEY, MONTH).join(fresh.select(KEY), KEY, "left_semi")
-    touched = replaced.select(MONTH).union(fresh.select(MONTH)).distinct()
-    touched.write.mode("overwrite").parquet(f"{stored}/touched")
+    replaced.select(MONTH).union(fresh.select(MONTH)).distinct().write.parquet(f"{stored}/touched")
     rewritten = current.where(F.col(MONTH).isin(_months(spark, stored)))
-    _write_months(upsert(rewritten, fresh), f"{stored}/merged", "static")
+    _write_months(upsert(rewritten, fresh), f"{stored}/merged")
 
 
 def _publish(merged: DataFrame, path: str, touched: list[str]) -> None:
     kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
     if kept:
-        _write_months(merged, path, "dynamic")
-    for month in set(touched) - kept:
-        # A month left without rows: overwrite its folder with an empty file.
-        merged.drop(MONTH).limit(0).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+        _write_months(merged, path)
+    # Months left without rows: their folders go, without a job for each.
+    for month in sorted(set(touched) - kept):
+        remove_path(merged.sparkSession, f"{path}/{MONTH}={month}")
 
 
 def _months(spark: SparkSession, stored: str) -> list[str]:

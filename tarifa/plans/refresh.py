@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,12 @@ def refresh(spark: SparkSession, root: str, run_id: str | None = None) -> str:
     """Load new raw rows, rebuild the gold tables, and publish them if all checks pass.
 
     Gold tables go to a folder of their own per run, so readers keep the last published run until the
-    checks have passed, and a failed run can be repeated under its id.
+    checks have passed, and a failed run can be repeated under its id. A published id is refused.
     """
-    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
+    run_id = run_id or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    if path_exists(spark, f"{root}/published"):
+        if not spark.read.parquet(f"{root}/published").where(F.col("run_id") == run_id).isEmpty():
+            raise ValueError(f"run {run_id!r} is published; use a new id")
     load_batch(spark, f"{root}/staging", read_bronze(spark, f"{root}/raw"), run_id)
     staging = read_staging(spark, f"{root}/staging")
     build = f"{root}/gold/{run_id}"

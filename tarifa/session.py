@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
-
 # Generated code above this size is not compiled to machine code by the JVM, so wide projections run
 # many times faster outside one large generated method.
 RUNTIME_SETTINGS = {
@@ -44,36 +40,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores when a scan has few splits, such as one file with one row group.
-
-    With at least half as many splits as cores the frame is returned as it is, so the most that is
-    ever moved is half a split per core.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 < cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster session must name one.
+    A session without that setting, as in tests, gets a new folder under its warehouse.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="tarifa-")
-        context.setCheckpointDir(_local_folders[app])
-    return _local_folders[app]
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate-{context.applicationId}"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -96,3 +74,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tarifa import schemas
 from tarifa.fixed_values import AIRLINES, AIRPORTS, EQUIPMENT, FARE_CODES
 from tarifa.functions.text import iso_text, list_join, pick
-from tarifa.session import spread
 from tarifa.sources.tables import read_table
 
 AIRPORT_CODES = [row[0] for row in AIRPORTS]
@@ -25,7 +24,6 @@ LOADED_AT = "2026-01-01 00:00:00"
 def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
     """The raw itinerary table over the driver tables of ``folder``."""
     lineitem = read_table(spark, folder, "lineitem").select(LINE_COLUMNS)
-    lineitem = spread(lineitem, "l_orderkey", "l_partkey", "l_suppkey")
     return derive_itineraries(lineitem, read_table(spark, folder, "orders"))
 
 

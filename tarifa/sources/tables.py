@@ -17,8 +17,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The raw itineraries with their declared schema."""
-    return spark.read.schema(schemas.BRONZE).parquet(path)
+    """The raw itineraries with their declared schema; they are stored by search date."""
+    return spark.read.schema(schemas.BRONZE).parquet(path).select(schemas.BRONZE.names)
 
 
 def run_sql(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
@@ -69,10 +69,13 @@ def as_bronze(df: DataFrame, loaded_at: str | None = None) -> DataFrame:
 
 
 def append_bronze(df: DataFrame, path: str, loaded_at: str | None = None) -> int:
-    """Append a batch to the raw table, creating it if absent; returns the number of rows added."""
+    """Append a batch to the raw table, creating it if absent; returns the number of rows added.
+
+    The table has a folder per search date, so a daily load reads the days it needs and no others.
+    """
     added = Observation()
     rows = as_bronze(df, loaded_at).observe(added, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").parquet(path)
+    rows.hint("rebalance", "SEARCHDATE").write.mode("append").partitionBy("SEARCHDATE").parquet(path)
     return added.get["rows"]
 
 

@@ -12,9 +12,10 @@ from tarifa.operators import cleaning, encoding, metrics, pricing, quality, quan
 from tarifa.operators.staging import stage_flights
 from tarifa.plans import refresh
 from tarifa.plans.tables import Tables
-from tarifa.session import new_path, save
+from tarifa.session import new_path, path_exists, save
 from tarifa.sources import generator, seeds, tables
 from tarifa.sources.itineraries import raw_flights
+from tarifa.streaming.loads import stream_into_staging
 
 
 def rows_of(df):
@@ -31,10 +32,8 @@ def derived(spark, folder):
     return Tables(spark, folder)
 
 
-@pytest.mark.parametrize("small", [quantiles.SMALL, 3])
 @pytest.mark.parametrize("kind", ["spread", "repeated", "outlier", "one"])
-def test_quantiles_equal_numpy(spark, monkeypatch, small, kind):
-    monkeypatch.setattr(quantiles, "SMALL", small)
+def test_quantiles_equal_numpy(spark, kind):
     draw = random.Random(5)
     values = {
         "spread": [draw.uniform(-50, 50) for _ in range(997)],
@@ -100,7 +99,7 @@ def test_one_hot_key_is_cut_before_the_shuffle(spark, raw):
 
 def test_empty_target_lets_all_rows_in(spark, raw):
     empty = stage_flights(raw).limit(0)
-    assert upsert.since_mark(raw, empty).count() == raw.count()
+    assert upsert.since_mark(raw, upsert.newest_date(empty)).count() == raw.count()
 
 
 def as_map(spark, path):
@@ -129,19 +128,95 @@ def test_load_moves_rows_between_months_and_repeats_safely(spark, raw):
     assert as_map(spark, table) == after
 
 
-def test_interrupted_publish_is_repeated(spark, raw, monkeypatch):
+def load(raw, prefix, day):
+    """Raw rows whose id starts with ``prefix``, searched on ``day``."""
+    rows = raw.where(F.col("LEGID").startswith(prefix)).withColumn("SEARCHDATE", F.lit(day).cast("date"))
+    return rows.withColumn("FLIGHTDATE", F.lit("2024-05-01").cast("date"))
+
+
+def prefixes(found):
+    return {key[0] for key in found}
+
+
+@pytest.mark.parametrize("failing", ["_publish", "_store_merged"])
+def test_interrupted_load_is_repeated(spark, raw, monkeypatch, failing):
+    """A load that fails while merging or publishing loses nothing, under its own id and under the next."""
+    for retry in ("two", "three"):
+        table = new_path(spark, "staging")
+        upsert.load_batch(spark, table, load(raw, "2", "2024-01-15"), "one")
+        before = as_map(spark, table)
+        with monkeypatch.context() as patched:
+            patched.setattr(upsert, failing, lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                upsert.load_batch(spark, table, load(raw, "3", "2024-03-01"), "two")
+        later = load(raw, "3", "2024-03-01") if retry == "two" else load(raw, "4", "2024-03-02")
+        upsert.load_batch(spark, table, later, retry)
+        after = as_map(spark, table)
+        assert before.items() <= after.items()
+        lost = failing == "_store_merged" and retry == "three"
+        assert prefixes(after) == {"2", "3" if retry == "two" else "4"} | (set() if lost else {"3"})
+
+
+def test_reused_ids_cannot_revert_later_loads(spark, raw):
     table = new_path(spark, "staging")
-    first = raw.where("LEGID like '2%'").withColumn("SEARCHDATE", F.lit("2024-01-15").cast("date"))
-    first = first.withColumn("FLIGHTDATE", F.lit("2024-05-01").cast("date"))
-    upsert.load_batch(spark, table, first, "one")
-    later = first.withColumn("SEARCHDATE", F.lit("2024-03-01").cast("date"))
-    publish = upsert._publish
-    monkeypatch.setattr(upsert, "_publish", lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
-    with pytest.raises(RuntimeError):
-        upsert.load_batch(spark, table, later, "two")
-    monkeypatch.setattr(upsert, "_publish", publish)
-    upsert.load_batch(spark, table, later, "two")
-    assert {day for day, _ in as_map(spark, table).values()} == {dt.date(2024, 3, 1)}
+    for prefix, day, name in (("1", "2024-01-01", "a"), ("2", "2024-02-01", "b"), ("3", "2024-02-02", "c")):
+        upsert.load_batch(spark, table, load(raw, prefix, day), name)
+    before = as_map(spark, table)
+    upsert.load_batch(spark, table, load(raw, "2", "2024-02-01"), "b")
+    assert as_map(spark, table) == before
+    with pytest.raises(ValueError, match="other input"):
+        upsert.load_batch(spark, table, load(raw, "4", "2024-02-03"), "b")
+    assert as_map(spark, table) == before
+
+
+def test_tables_without_success_markers_keep_their_rows(spark, raw):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        table = new_path(spark, "staging")
+        upsert.load_batch(spark, table, load(raw, "1", "2024-01-01"), "a")
+        upsert.load_batch(spark, table, load(raw, "2", "2024-01-02"), "b")
+        assert prefixes(as_map(spark, table)) == {"1", "2"}
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_stored_batches_are_removed(spark, raw):
+    table = new_path(spark, "staging")
+    upsert.load_batch(spark, table, load(raw, "1", "2024-01-01"), "a")
+    ledger = upsert.Ledger(spark, table)
+    assert [r["state"] for r in ledger.rows] == ["merged", "published"]
+    assert not path_exists(spark, ledger.rows[0]["stored"])
+
+
+def test_new_checkpoint_starts_new_loads(spark, raw):
+    """Three arrivals, then a checkpoint that numbers its batches from 0 again."""
+    landing, other, table = (new_path(spark, n) for n in ("landing", "landing", "staging"))
+    checkpoints = [new_path(spark, "checkpoint") for _ in range(2)]
+    days = (("1", "2024-01-01"), ("2", "2024-01-02"), ("3", "2024-02-01"))
+    for prefix, day in days:
+        load(raw, prefix, day).write.mode("append").parquet(landing)
+        stream_into_staging(spark, landing, table, checkpoints[0]).awaitTermination()
+    before = as_map(spark, table)
+    load(raw, "4", "2024-02-02").write.parquet(other)
+    stream_into_staging(spark, other, table, checkpoints[1]).awaitTermination()
+    after = as_map(spark, table)
+    assert before.items() <= after.items() and prefixes(after) == {"1", "2", "3", "4"}
+
+
+def test_daily_load_reads_new_days_only(spark, raw):
+    path = new_path(spark, "raw")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        tables.append_bronze(load(raw, "1", day), path)
+    arrived = upsert.since_mark(tables.read_bronze(spark, path), dt.date(2024, 1, 3))
+    assert arrived.schema.names == tables.read_bronze(spark, path).schema.names
+    plan = arrived._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(SEARCHDATE" in plan and ">= 2024-01-03" in plan
+    assert {r[0].split("SEARCHDATE=")[1][:10] for r in arrived.select(F.input_file_name()).distinct().collect()} == {"2024-01-03"}
+    files = new_path(spark, "raw")
+    raw.write.parquet(files)
+    plan = upsert.since_mark(spark.read.parquet(files), dt.date(2024, 1, 3))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(SEARCHDATE,2024-01-03)" in plan
 
 
 def test_generated_rows_keep_their_ranges(spark):
@@ -178,6 +253,31 @@ def test_samples_and_splits(spark):
     assert train.join(test, "key", "left_semi").count() == 0
 
 
+def test_split_of_a_sample_keeps_its_share(spark):
+    df = spark.range(40000).select(F.col("id").alias("key"))
+    marked = sampling.mark_test_rows(sampling.sample_rows(df, 0.3), 0.1)
+    assert 0.09 < marked.where("is_test").count() / marked.count() < 0.11
+
+
+def test_equal_rows_are_sampled_one_by_one(spark):
+    df = spark.range(10000).select(F.lit("same").alias("a"), F.lit(None).cast("int").alias("b"))
+    part = sampling.sample_rows(df, 0.3)
+    assert 0.28 < part.count() / 10000 < 0.32 and part.columns == df.columns
+
+
+def test_long_value_lists_are_numbered_in_several_ranges(spark):
+    """Also where all values share their first characters and none repeats."""
+    df = spark.range(20000).select(F.format_string("KLM-%06d", F.col("id")).alias("word"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        codes = encoding.fit_codes(df, ["word"])
+        assert codes.where(F.col("value") != F.format_string("KLM-%06d", F.col("code"))).count() == 0
+        assert codes.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
 def test_metrics_equal_numpy(spark):
     draw = np.random.default_rng(1)
     y, p = draw.normal(300, 80, 500), draw.normal(300, 80, 500)
