@@ -60,11 +60,10 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
     """Masks over the given bit positions such that any ``radius`` of the positions miss some mask."""
-    vectors = [1 + i % (2 ** (radius + 1) - 1) for i in range(len(positions))]
-    return [
-        sum(1 << p for p, own in zip(positions, vectors) if (own & v).bit_count() % 2)
-        for v in range(1, 2 ** (radius + 1))
-    ]
+    # The unit vectors come first, so that more than ``radius`` positions give no empty mask.
+    vectors = sorted(range(1, 2 ** (radius + 1)), key=lambda v: (v.bit_count() > 1, v))
+    dealt = [(p, vectors[i % len(vectors)]) for i, p in enumerate(positions)]
+    return [sum(1 << p for p, own in dealt if (own & v).bit_count() % 2) for v in sorted(vectors)]
 
 
 def _signed(value: int) -> int:
@@ -78,9 +77,13 @@ def _deal(fps: DataFrame, radius: int, depth: int) -> DataFrame:
         free = {taken: [p for p in range(BITS) if not taken >> p & 1] for taken in parents}
         pairs = sorted({(taken, taken | mask) for taken in parents for mask in covering_masks(free[taken], radius)})
         parents = sorted({child for _, child in pairs})
-    masks = fps.sparkSession.createDataFrame([(_signed(a), _signed(b)) for a, b in pairs], "mask long, child long")
-    # A few hundred rows at the deepest level, whatever the data.
-    dealt = fps.join(F.broadcast(masks), "mask").select(F.col("child").alias("mask"), "fp")
+    if depth == 0:
+        first = F.array(*[F.lit(_signed(child)) for _, child in pairs])
+        dealt = fps.select(F.explode(first).alias("mask"), "fp")
+    else:
+        masks = fps.sparkSession.createDataFrame([(_signed(a), _signed(b)) for a, b in pairs], "mask long, child long")
+        # A few hundred rows at the deepest level, whatever the data.
+        dealt = fps.join(F.broadcast(masks), "mask").select(F.col("child").alias("mask"), "fp")
     return dealt.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
 
 
@@ -97,8 +100,8 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         dealt = _deal(left, radius, depth)
         sizes = dealt.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = save(dealt.join(sizes, ["mask", "key"]), "buckets")
-        least_free = F.lit(BITS) - F.bit_count("mask")
-        small = (F.col("n") <= bucket) | (F.pow(F.lit(2.0), least_free) <= bucket)
+        # With one free bit more than the radius, a bucket holds few fingerprints at most and cannot be dealt further.
+        small = (F.col("n") <= bucket) | (F.lit(BITS) - F.bit_count("mask") <= radius + 1)
         a = shared.filter(small).select("mask", "key", F.col("fp").alias("a"))
         b = a.withColumnRenamed("a", "b")
         near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius

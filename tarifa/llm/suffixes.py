@@ -197,13 +197,14 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_conte
     ``rows`` is a stored table with ``ROW`` and ``text``.
     """
     found = save(find_contexts(rows, length, gram), "contexts")
-    twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # Stored, so that the joins below shuffle both sides and adaptive execution can split a frequent anchor string.
+    twice = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "shared_grams")
     shared = save(found.join(twice, "gram"), "shared_contexts")
     key = ["gram", "one", "two"]
     distinct = save(
         shared.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(ROW, "first", "bytes")).alias("at")), "distinct_contexts"
     )
-    kinds = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    kinds = save(distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "gram_kinds")
     asked = distinct.join(kinds, "gram").select(
         F.col(f"at.{ROW}").alias(ROW), "gram", F.col("at.first").alias("first"), F.col("at.bytes").alias("bytes"), "n", "kinds"
     )
