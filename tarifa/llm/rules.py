@@ -154,7 +154,7 @@ def judge(docs: DataFrame, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     stored = save(counted, "rule_votes")
     # At most 3 to the number of rules.
     patterns = stored.groupBy("votes").count().toPandas().sort_values("votes")
-    digits = np.array([[int(d) for d in v] for v in patterns["votes"]], np.int64).reshape(len(patterns), -1)
+    digits = np.array([[int(d) for d in v] for v in patterns["votes"]], np.int64).reshape(len(patterns), len(votes()))
     posterior, _, _ = estimate(digits, patterns["count"].to_numpy(float))
     rows = [(v, float(p)) for v, p in zip(patterns["votes"], posterior)]
     table = docs.sparkSession.createDataFrame(rows, "votes string, posterior double")
