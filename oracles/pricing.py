@@ -69,7 +69,7 @@ TABLES["filled"] = (
 SELECT * EXCLUDE (offers) REPLACE (
   coalesce(seatsRemaining, 50) AS seatsRemaining, coalesce(totalTravelDistance, {dbl(1000)}) AS totalTravelDistance,
   coalesce(durationMinutes, 180) AS durationMinutes, coalesce(numSegments, 1) AS numSegments,
-  coalesce(carrier, 'DL') AS carrier, coalesce(departureHour, 10) AS departureHour,
+  coalesce(carrier, 'DL') AS carrier,
   coalesce(isBasicEconomy, FALSE) AS isBasicEconomy, coalesce(isNonStop, TRUE) AS isNonStop,
   coalesce(isRefundable, FALSE) AS isRefundable, coalesce(isHoliday, FALSE) AS isHoliday,
   CASE WHEN fareBasisCode IS NULL OR fareBasisCode = '' THEN 'Y14' ELSE fareBasisCode END AS fareBasisCode,

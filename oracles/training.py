@@ -12,7 +12,12 @@ def oracle(name: str, final: str, *needed: str) -> None:
 
 
 oracle("raw_flights", "SELECT * FROM raw", "raw")
-oracle("csv_to_parquet", "SELECT * REPLACE (nullif(FAREBASISCODE, '') AS FAREBASISCODE) FROM raw", "raw")
+oracle(
+    "csv_to_parquet",
+    """SELECT * REPLACE (nullif(FAREBASISCODE, '') AS FAREBASISCODE,
+  replace(SEGMENTSEQUIPMENTDESCRIPTION, '||', '|' || chr(10) || '|') AS SEGMENTSEQUIPMENTDESCRIPTION) FROM raw""",
+    "raw",
+)
 oracle(
     "seed_airports",
     """SELECT a.*, (SELECT count(*) FROM fact WHERE origin_airport_key = a.code) AS departures,
@@ -132,6 +137,20 @@ UNION ALL SELECT '4 duration trimmed', count(*) FROM trimmed""",
     "trimmed",
 )
 oracle("label_encode", "SELECT * FROM encoded", "encoded")
+ENSEMBLE = """SELECT LEGID AS leg_id, CAST(ISBASICECONOMY AS TINYINT) AS is_basic_economy,
+  CAST(ISREFUNDABLE AS TINYINT) AS is_refundable, STARTINGAIRPORT AS starting_airport,
+  DESTINATIONAIRPORT AS destination_airport,
+  CASE WHEN contains(upper(FAREBASISCODE), 'CH') THEN 'child' WHEN contains(upper(FAREBASISCODE), 'IN') THEN 'infant'
+    ELSE 'adult' END AS passenger_type, string_split(SEGMENTSAIRLINECODE, '||')[1] AS carrier_category,
+  TOTALFARE AS total_fare FROM raw"""
+CODED = ["starting_airport", "destination_airport", "passenger_type", "carrier_category"]
+oracle(
+    "ensemble_features",
+    "SELECT * REPLACE ("
+    + ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}" for c in CODED)
+    + f") FROM ({ENSEMBLE})",
+    "raw",
+)
 oracle("encoder_classes", "SELECT * FROM codes", "codes")
 FEATURES = [
     "days_until_flight", "seats_remaining", "total_travel_distance", "travel_duration_minutes", "num_segments",

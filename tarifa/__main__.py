@@ -7,9 +7,9 @@ from __future__ import annotations
 
 import argparse
 
-from tarifa import schemas
 from tarifa.plans import refresh
 from tarifa.session import build_session
+from tarifa.sources.requests import read_requests
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -43,8 +43,8 @@ def main(arguments: list[str] | None = None) -> None:
             spark, options.root, options.model, options.sample, trees=options.trees, depth=options.depth
         )
     else:
-        requests = spark.read.schema(schemas.REQUEST).json(options.requests)
-        refresh.price(spark, requests, options.model).write.json(options.output)
+        requests = read_requests(spark, options.requests)
+        refresh.price(spark, requests, options.model, ["request_id"]).write.json(options.output)
 
 
 if __name__ == "__main__":

@@ -13,6 +13,11 @@ def category_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING_CATEGORY))
 
 
+def small_flags(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Boolean columns as one-byte 0 and 1; null stays null."""
+    return df.withColumns({c: F.col(c).cast("tinyint") for c in columns})
+
+
 def fit_codes(df: DataFrame, columns: list[str] = ENCODED_FEATURES) -> DataFrame:
     """The code table: feature, value and code, where codes number the sorted distinct values from 0.
 

@@ -16,8 +16,15 @@ FACTORS = ["demand", "competition", "inventory", "time", "seasonality"]
 
 
 def with_defaults(requests: DataFrame) -> DataFrame:
-    """Fill missing request fields. An empty fare code and 0 total seats also count as missing."""
-    filled = {name: F.coalesce(name, F.lit(value)) for name, value in REQUEST_DEFAULTS.items()}
+    """Fill missing request fields. An empty fare code and 0 total seats also count as missing.
+
+    The departure hour has a default where requests have no such field; a null hour stays, and the fare code decides about the
+    night instead.
+    """
+    filled = {name: F.coalesce(name, F.lit(value)) for name, value in REQUEST_DEFAULTS.items() if name in requests.columns}
+    filled |= {name: F.lit(value) for name, value in REQUEST_DEFAULTS.items() if name not in requests.columns}
+    if "departureHour" in requests.columns:
+        del filled["departureHour"]
     filled["fareBasisCode"] = F.coalesce(
         F.nullif(F.col("fareBasisCode"), F.lit("")), F.lit(REQUEST_DEFAULTS["fareBasisCode"])
     )
@@ -30,11 +37,6 @@ def with_defaults(requests: DataFrame) -> DataFrame:
     return requests.withColumns(filled)
 
 
-def nonstop_from_segments(requests: DataFrame) -> DataFrame:
-    """Derive the nonstop flag as a booking form does."""
-    return requests.withColumn("isNonStop", F.col("numSegments") == 1)
-
-
 def _broken_rules() -> dict[str, Column]:
     """Per field, whether it breaks its rule. For requests with defaults."""
 
@@ -51,7 +53,7 @@ def _broken_rules() -> dict[str, Column]:
         "totalTravelDistance": outside("totalTravelDistance", 0),
         "durationMinutes": outside("durationMinutes", 0),
         "numSegments": outside("numSegments", 1, 6),
-        "departureHour": outside("departureHour", 0, 23),
+        "departureHour": F.coalesce(outside("departureHour", 0, 23), F.lit(False)),
     }
 
 

@@ -35,7 +35,9 @@ class QualityError(RuntimeError):
 def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Null rows per column, all columns in one pass."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _report(counted.unpivot([], columns, "column_name", "failures"), table, "not_null")
+    return counted.unpivot([], columns, "column_name", "failures").select(
+        F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("rule"), "failures"
+    )
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
@@ -57,27 +59,36 @@ def unaccepted_values(df: DataFrame, column: str, accepted: list) -> DataFrame:
     )
 
 
-def _report(failures: DataFrame, table: str, rule: str) -> DataFrame:
-    return failures.select(
-        F.lit(table).alias("table_name"), "column_name", F.lit(rule).alias("rule"), "failures"
-    )
-
-
-def _count_rows(rows: DataFrame, table: str, column: str, rule: str) -> DataFrame:
-    counted = rows.agg(F.count(F.lit(1)).alias("failures"))
-    return _report(counted.withColumn("column_name", F.lit(column)), table, rule)
+def check_table(df: DataFrame, table: str) -> DataFrame:
+    """One row per declared check of a table, all counted in one pass over it.
+
+    ``not_null`` counts null rows, ``unique`` values that occur more than once, ``accepted_values`` distinct values outside the
+    accepted list; the last two do not compare nulls.
+    """
+    checks = {(column, "not_null"): F.count_if(F.col(column).isNull()) for column in NOT_NULL.get(table, [])}
+    for column, accepted in ACCEPTED.get(table, {}).items():
+        checks[column, "accepted_values"] = F.count_distinct(F.when(~F.col(column).isin(accepted), F.col(column)))
+    names = {key: f"check_{number}" for number, key in enumerate(checks)}
+    found = [check.alias(names[key]) for key, check in checks.items()]
+    if table in UNIQUE:
+        # The rows of one value are counted together, and the counts of all values added up.
+        (column,) = UNIQUE[table]
+        grouped = df.groupBy(F.col(column).alias("checked")).agg(F.count(F.lit(1)).alias("copies"), *found)
+        names[column, "unique"] = "check_unique"
+        repeated = F.count_if((F.col("copies") > 1) & F.col("checked").isNotNull()).alias("check_unique")
+        counted = grouped.agg(repeated, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names.values() if n != "check_unique"])
+    else:
+        counted = df.agg(*found)
+    rows = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(r).alias("rule"), F.col(n).alias("failures"))
+        for (c, r), n in names.items()
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """The report over the given tables: table_name, column_name, rule, failures."""
-    parts = [null_counts(df, name, NOT_NULL[name]) for name, df in tables.items() if name in NOT_NULL]
-    for name, df in tables.items():
-        for column in UNIQUE.get(name, []):
-            parts.append(_count_rows(repeated_values(df, column), name, column, "unique"))
-        for column, accepted in ACCEPTED.get(name, {}).items():
-            bad = unaccepted_values(df, column, accepted)
-            parts.append(_count_rows(bad, name, column, "accepted_values"))
-    return union_all(parts)
+    return union_all([check_table(df, name) for name, df in tables.items() if name in NOT_NULL])
 
 
 def enforce(report: DataFrame, allow: Iterable[tuple[str, str, str]] = ()) -> None:

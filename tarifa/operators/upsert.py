@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tarifa import schemas
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
 from tarifa.session import path_exists, remove_path
+from tarifa.sources.tables import RAW_MONTH
 
 KEY = "leg_id"
 MONTH = "search_month"
@@ -32,8 +33,15 @@ def newest_date(table: DataFrame, column: str = "search_date") -> dt.date | None
 
 
 def since_mark(bronze: DataFrame, mark: dt.date | None) -> DataFrame:
-    """Raw rows not older than ``mark``, a literal that scans use to skip folders and files; without a mark, all rows."""
-    return bronze if mark is None else bronze.where(F.col("SEARCHDATE") >= F.lit(mark))
+    """Raw rows not older than ``mark``, or all rows without one, and without the month they are stored by.
+
+    The mark is a literal, by which scans skip the folders of older months and the parts of files that hold older days only.
+    """
+    if mark is not None:
+        bronze = bronze.where(F.col("SEARCHDATE") >= F.lit(mark))
+        if RAW_MONTH in bronze.columns:
+            bronze = bronze.where(F.col(RAW_MONTH) >= F.lit(f"{mark:%Y-%m}"))
+    return bronze.drop(RAW_MONTH)
 
 
 def one_per_key(df: DataFrame, key: str = KEY, newest: str = "search_date") -> DataFrame:
@@ -150,7 +158,7 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str)
     other input it is an error. The stored columns follow those of the batch: new ones are empty in old rows, lost ones are
     dropped. Content stored for a load is removed once it is published. Run one load per table at a time.
     """
-    schema = staging_schema(stage_flights(bronze))
+    schema = staging_schema(stage_flights(bronze.drop(RAW_MONTH)))
     ledger = Ledger(spark, path)
     if pending := ledger.pending():
         _finish(ledger, pending, path, schema)

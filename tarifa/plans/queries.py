@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarifa.functions import rules
 from tarifa.functions.fare_codes import scoring_features
 from tarifa.functions.numbers import stable
-from tarifa.functions.text import duration_minutes
+from tarifa.functions.text import duration_minutes, first_item
 from tarifa.operators import (
     cleaning,
     dimensions,
@@ -47,17 +47,26 @@ def raw_flights(t: Tables) -> DataFrame:
 
 @query
 def csv_to_parquet(t: Tables) -> DataFrame:
+    """The raw rows through CSV files, with line breaks inside a field."""
     csv_path, parquet_path = new_path(t.spark, "csv"), new_path(t.spark, "parquet")
-    payload = t.raw.drop("_LOADED_AT")
+    broken = F.replace("SEGMENTSEQUIPMENTDESCRIPTION", F.lit("||"), F.lit("|\n|"))
+    payload = t.raw.drop("_LOADED_AT").withColumn("SEGMENTSEQUIPMENTDESCRIPTION", broken)
     tables.write_csv(payload, csv_path)
     tables.csv_to_parquet(t.spark, csv_path, parquet_path, payload.schema)
     return t.spark.read.schema(payload.schema).parquet(parquet_path)
 
 
+def _seed_file(t: Tables, seed: Callable[..., DataFrame]) -> DataFrame:
+    """Reference data by way of a CSV file."""
+    path = new_path(t.spark, "seed")
+    tables.write_csv(seed(t.spark), path)
+    return seed(t.spark, path)
+
+
 @query
 def seed_airports(t: Tables) -> DataFrame:
     """The airports with their departures and arrivals."""
-    airports = seeds.airports(t.spark)
+    airports = _seed_file(t, seeds.airports)
     flights = t.fact.select(
         F.inline(
             F.array(
@@ -88,7 +97,7 @@ def _flights_per_day(t: Tables) -> DataFrame:
 def seed_holidays(t: Tables) -> DataFrame:
     """The holidays with the flights of the day."""
     days = _flights_per_day(t)
-    joined = seeds.holidays(t.spark).join(days, F.col("holiday_date") == F.col("flight_date"), "left")
+    joined = _seed_file(t, seeds.holidays).join(days, F.col("holiday_date") == F.col("flight_date"), "left")
     return joined.select(
         "holiday_name", "holiday_date", F.coalesce("day_flights", F.lit(0)).alias("flights")
     )
@@ -103,7 +112,7 @@ def bronze_append(t: Tables) -> DataFrame:
         tables.append_bronze(
             generator.generate_itineraries(orders, "o_orderkey", "o_orderdate", seed), path
         )
-    return tables.read_bronze(t.spark, path).drop("_LOADED_AT")
+    return tables.read_bronze(t.spark, path).drop("_LOADED_AT", tables.RAW_MONTH)
 
 
 @query
@@ -329,6 +338,26 @@ def encoder_classes(t: Tables) -> DataFrame:
     return t.prepared[1]
 
 
+@query
+def ensemble_features(t: Tables) -> DataFrame:
+    """The second training input: flags as small integers and four coded categories."""
+    code = F.upper("FAREBASISCODE")
+    passenger = F.when(code.contains("CH"), "child").when(code.contains("IN"), "infant").otherwise("adult")
+    rows = t.raw.select(
+        F.col("LEGID").alias("leg_id"),
+        F.col("ISBASICECONOMY").alias("is_basic_economy"),
+        F.col("ISREFUNDABLE").alias("is_refundable"),
+        F.col("STARTINGAIRPORT").alias("starting_airport"),
+        F.col("DESTINATIONAIRPORT").alias("destination_airport"),
+        passenger.alias("passenger_type"),
+        first_item(F.col("SEGMENTSAIRLINECODE")).alias("carrier_category"),
+        F.col("TOTALFARE").alias("total_fare"),
+    )
+    rows = save(encoding.small_flags(rows, ["is_basic_economy", "is_refundable"]), "ensemble")
+    names = ["starting_airport", "destination_airport", "passenger_type", "carrier_category"]
+    return encoding.encode(rows, save(encoding.fit_codes(rows, names), "codes"), names)
+
+
 @query
 def feature_vector(t: Tables) -> DataFrame:
     return t.prepared[0].select(encoding.feature_columns())

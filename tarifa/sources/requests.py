@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from tarifa import schemas
+from tarifa.fixed_values import REQUEST_DEFAULTS
 from tarifa.functions.text import airport_code, duration_minutes, first_item, parse_prices, pick, split_list
 
 SEASONS = ["peak_summer", "peak_winter", "shoulder", "standard", "off_season", "carnival"]
@@ -60,3 +63,13 @@ def derive_requests(bronze: DataFrame) -> DataFrame:
         .otherwise(F.col("BASEFARE").cast("double"))
         .alias("ml_prediction"),
     )
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Requests from JSON lines with their ``request_id``; an hour that a line does not name gets its default, a null hour stays."""
+    lines = spark.read.text(path)
+    schema = StructType([StructField("request_id", StringType()), *schemas.REQUEST.fields])
+    named = F.array_contains(F.json_object_keys("value"), "departureHour")
+    parsed = lines.select(F.from_json("value", schema).alias("request"), named.alias("has_hour")).select("request.*", "has_hour")
+    hour = F.when(F.col("has_hour"), F.col("departureHour")).otherwise(REQUEST_DEFAULTS["departureHour"])
+    return parsed.withColumn("departureHour", hour).drop("has_hour")

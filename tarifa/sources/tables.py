@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarifa import schemas
 
+RAW_MONTH = "SEARCHMONTH"
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the driver tables."""
@@ -17,8 +19,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The raw itineraries with their declared schema; they are stored by search date."""
-    return spark.read.schema(schemas.BRONZE).parquet(path).select(schemas.BRONZE.names)
+    """The raw itineraries with their declared schema, and last the month of search by which they are stored."""
+    return spark.read.schema(StructType([*schemas.BRONZE.fields, StructField(RAW_MONTH, StringType())])).parquet(path)
 
 
 def run_sql(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
@@ -31,15 +33,17 @@ def csv_to_parquet(
     csv_path: str,
     parquet_path: str,
     schema: StructType,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> int:
     """Convert CSV with a header to Snappy Parquet and return the number of records.
 
-    Files are split over tasks; an empty field is null, quoted or not. ``multi_line`` allows line breaks inside quotes, at the price of one
-    task per file. The count is taken from the write itself, not by reading the file a second time.
+    An empty field is null, quoted or not. A record that does not fit the schema stops the conversion. Line breaks inside quotes
+    belong to the field, and a file is read by one task; without ``multi_line``, for files that hold none, large files are split.
     """
     written = Observation()
-    rows = spark.read.schema(schema).csv(csv_path, header=True, multiLine=multi_line, escape='"')
+    rows = spark.read.schema(schema).csv(
+        csv_path, header=True, multiLine=multi_line, escape='"', mode="FAILFAST"
+    )
     rows.observe(written, F.count(F.lit(1)).alias("records")).write.mode("overwrite").option(
         "compression", "snappy"
     ).parquet(parquet_path)
@@ -71,11 +75,12 @@ def as_bronze(df: DataFrame, loaded_at: str | None = None) -> DataFrame:
 def append_bronze(df: DataFrame, path: str, loaded_at: str | None = None) -> int:
     """Append a batch to the raw table, creating it if absent; returns the number of rows added.
 
-    The table has a folder per search date, so a daily load reads the days it needs and no others.
+    The table has a folder per month of search, so a daily load skips older ones and, by file statistics, older days.
     """
     added = Observation()
     rows = as_bronze(df, loaded_at).observe(added, F.count(F.lit(1)).alias("rows"))
-    rows.hint("rebalance", "SEARCHDATE").write.mode("append").partitionBy("SEARCHDATE").parquet(path)
+    rows = rows.withColumn(RAW_MONTH, F.date_format("SEARCHDATE", "yyyy-MM"))
+    rows.hint("rebalance", RAW_MONTH).write.mode("append").partitionBy(RAW_MONTH).parquet(path)
     return added.get["rows"]
 
 

@@ -1,6 +1,7 @@
 """Properties of the table operators on small frames and on the derived itineraries."""
 
 import datetime as dt
+import json
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarifa.fixed_values import ENCODED_FEATURES, FEATURES, GENERATED_AIRPORTS
+from tarifa.functions.fare_codes import scoring_features
 from tarifa.operators import cleaning, encoding, metrics, pricing, quality, quantiles, sampling, training, upsert
 from tarifa.operators.staging import stage_flights
 from tarifa.plans import refresh
@@ -15,6 +17,7 @@ from tarifa.plans.tables import Tables
 from tarifa.session import new_path, path_exists, save
 from tarifa.sources import generator, seeds, tables
 from tarifa.sources.itineraries import raw_flights
+from tarifa.sources.requests import read_requests
 from tarifa.streaming.loads import stream_into_staging
 
 
@@ -206,13 +209,14 @@ def test_new_checkpoint_starts_new_loads(spark, raw):
 
 def test_daily_load_reads_new_days_only(spark, raw):
     path = new_path(spark, "raw")
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+    for day in ("2024-01-01", "2024-02-02", "2024-02-03"):
         tables.append_bronze(load(raw, "1", day), path)
-    arrived = upsert.since_mark(tables.read_bronze(spark, path), dt.date(2024, 1, 3))
-    assert arrived.schema.names == tables.read_bronze(spark, path).schema.names
+    arrived = upsert.since_mark(tables.read_bronze(spark, path), dt.date(2024, 2, 3))
+    assert arrived.schema.names == raw.schema.names
     plan = arrived._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(SEARCHDATE" in plan and ">= 2024-01-03" in plan
-    assert {r[0].split("SEARCHDATE=")[1][:10] for r in arrived.select(F.input_file_name()).distinct().collect()} == {"2024-01-03"}
+    assert "SEARCHMONTH" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(SEARCHDATE,2024-02-03)" in plan
+    assert arrived.select("SEARCHDATE").distinct().collect() == [(dt.date(2024, 2, 3),)]
     files = new_path(spark, "raw")
     raw.write.parquet(files)
     plan = upsert.since_mark(spark.read.parquet(files), dt.date(2024, 1, 3))._jdf.queryExecution().executedPlan().toString()
@@ -259,6 +263,32 @@ def test_split_of_a_sample_keeps_its_share(spark):
     assert 0.09 < marked.where("is_test").count() / marked.count() < 0.11
 
 
+def test_null_hour_leaves_the_night_to_the_fare_code(spark, tmp_path):
+    """A request that names no hour gets the default; a null hour stays."""
+    base = {"searchDate": "2025-03-01", "flightDate": "2025-03-20", "startingAirport": "JFK", "destinationAirport": "LAX"}
+    lines = [{**base, "request_id": "absent"}, {**base, "request_id": "null", "departureHour": None}, {**base, "request_id": "late", "departureHour": 23}]
+    path = tmp_path / "requests.json"
+    path.write_text("\n".join(json.dumps({**line, "fareBasisCode": "YN"}) for line in lines))
+    filled = pricing.with_defaults(read_requests(spark, str(path)))
+    found = {r["request_id"]: r["departureHour"] for r in filled.collect()}
+    assert found == {"absent": 10, "null": None, "late": 23}
+    valid = filled.where(pricing.is_valid_request())
+    night = scoring_features(F.col("fareBasisCode"), F.col("departureHour"), F.col("flightDate"))["is_night_fare_proxy"]
+    found = {r[0]: r[1] for r in valid.select("request_id", night).collect()}
+    assert found == {"absent": 0, "null": 1, "late": 1}
+
+
+def test_malformed_csv_stops_the_conversion(spark, tmp_path):
+    schema = "a int, b string"
+    path, out = tmp_path / "in.csv", new_path(spark, "parquet")
+    path.write_text('a,b\n1,"two\nlines"\n2,x\n')
+    assert tables.csv_to_parquet(spark, str(path), out, schema) == 2
+    assert rows_of(spark.read.parquet(out)) == [(1, "two\nlines"), (2, "x")]
+    path.write_text("a,b\n1,x\nno number,y\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.csv_to_parquet(spark, str(path), new_path(spark, "parquet"), schema)
+
+
 def test_equal_rows_are_sampled_one_by_one(spark):
     df = spark.range(10000).select(F.lit("same").alias("a"), F.lit(None).cast("int").alias("b"))
     part = sampling.sample_rows(df, 0.3)
