@@ -196,6 +196,12 @@ oracle(
 FROM (SELECT *, upper(fareBasisCode) AS code, {day("flightDate")} AS fday FROM requests)""",
     "requests",
 )
+oracle(
+    "model_roundtrip",
+    """SELECT request_id, count(*) AS requests, TRUE AS same_prediction, TRUE AS price_in_bounds
+FROM checked WHERE broken = '' GROUP BY ALL""",
+    "checked",
+)
 oracle("serve_features", f"SELECT request_id, {FEATURES} FROM featured", "featured")
 oracle(
     "encode_categories",

@@ -189,6 +189,19 @@ oracle(
     "SELECT * FROM ml ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in ML_COLUMNS) + " LIMIT 5",
     "ml",
 )
+HELD_OUT = f"SELECT count(*) FROM encoded WHERE {share('split', ['total_fare', *FEATURES])} < CAST(0.1 AS DOUBLE)"
+oracle("train_gbt", f"SELECT ({HELD_OUT}) AS rows_scored, TRUE AS better_than_mean", "encoded")
+oracle(
+    "train_ensemble",
+    f"""SELECT model, ({HELD_OUT}) AS rows_scored, TRUE AS better_than_mean, TRUE AS blend_is_mean
+FROM (SELECT unnest(['boosted', 'boosted_shallow', 'forest', 'blend']) AS model)""",
+    "encoded",
+)
+oracle("score_table", "SELECT airline_code, count(*) AS rows_scored, count(*) AS rows_predicted FROM encoded GROUP BY ALL", "encoded")
+oracle(
+    "feature_importance_topk",
+    "SELECT CAST(i AS INTEGER) AS importance_rank, TRUE AS falls, TRUE AS is_share, TRUE AS is_feature FROM range(1, 11) r(i)",
+)
 PREDICTED = """SELECT CAST(total_fare AS DOUBLE) AS y, CAST(base_fare AS DOUBLE) * CAST(1.1 AS DOUBLE) AS p1,
   CAST(base_fare AS DOUBLE) + 40 AS p2, CAST(base_fare AS DOUBLE) * CAST(1.25 AS DOUBLE) - 10 AS p3 FROM fact"""
 METRICS = """SELECT count(*) AS rows_scored, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,

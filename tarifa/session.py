@@ -8,13 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Generated code above this size is not compiled to machine code by the JVM, so wide projections run
 # many times faster outside one large generated method.
-RUNTIME_SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def build_session(app_name: str = "tarifa", master: str | None = None, **settings: str) -> SparkSession:
@@ -33,13 +27,6 @@ def build_session(app_name: str = "tarifa", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that was built elsewhere."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
