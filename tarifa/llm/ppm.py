@@ -297,6 +297,18 @@ def score_words(vocabulary: DataFrame) -> DataFrame:
     return save(found, "word_scores")
 
 
+def frequent(words: DataFrame) -> DataFrame:
+    """The most frequent short words, ``TOP_WORDS`` at most: those from a count on that a histogram of a few hundred bins gives."""
+    binned = words.filter((F.length("word") <= TOP_WORD_BYTES) & (F.col("n") > 0)).withColumn("bin", F.floor(8 * F.log2("n")))
+    least, size = None, 0
+    for row in sorted(binned.groupBy("bin").count().collect(), reverse=True):
+        size += row["count"]
+        if size > TOP_WORDS:
+            break
+        least = row["bin"]
+    return binned.filter(F.lit(False) if least is None else F.col("bin") >= least)
+
+
 def score(docs: DataFrame, train: Column) -> DataFrame:
     """Per row: ``doc_id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -315,8 +327,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     words = score_words(vocabulary)
     below = total + 0.5 * (distinct + 1)
     words = words.select("word", (F.col("n") > 0).cast("long").alias("known"), F.log10((F.col("n") + 0.5) / below).alias("base"), "rest", "n")
-    short = words.filter(F.length("word") <= TOP_WORD_BYTES)
-    top = short.orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word", "known", "base", "rest").toPandas()
+    top = frequent(words).select("word", "known", "base", "rest").toPandas()
     model = docs.sparkSession.sparkContext.broadcast(
         (first, second, top["word"].tolist(), top[["known", "base", "rest"]].to_numpy(np.float64))
     )
