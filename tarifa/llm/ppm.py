@@ -2,12 +2,13 @@
 
 A text is the bytes of its lower-cased words, a space after each, then one end symbol. The model is a trie of byte contexts:
 
-* the first symbol of a word is predicted from the last two bytes of the word before, then the last one, then none;
-* the second from the last byte of the word before with the first byte, then the first byte, then none;
-* each later one from the whole word so far (up to ``MAX_ORDER`` bytes), then its last two bytes, the last one, none.
+* the first symbol of a word is predicted from the last three bytes of the word before, then the last one, then none;
+* the second from the last two bytes of the word before with the first byte, then the first byte, then none;
+* each later one from the whole word so far (up to ``MAX_ORDER`` bytes), then its last three bytes, the last one, none.
 
 A context escapes to the next shorter one with probability d / (t + d), where t counts its symbols in training and d the distinct
-ones, and symbols that the longer context offered are excluded from the shorter. What is left goes evenly to symbols never seen.
+ones, and symbols that the longer context offered are excluded from the shorter. What is left goes evenly to symbols never seen. Two bytes before a word's own or its neighbour's last
+byte are known by their remainder only, so that the tables of these contexts are bounded by the alphabet.
 
 From the third symbol on a word's code length depends on the word alone, so it is computed once per distinct word: words are sorted
 into ranges, each range holds its part of the trie as runs of equal prefixes, and the few prefixes that cross a range's borders are
@@ -44,18 +45,24 @@ def _code(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> np.ndarray:
     return (a.astype(np.int64) * SYMBOLS + b) * SYMBOLS + s
 
 
+def pair(a, b):
+    """Two bytes as a number below ``SYMBOLS``."""
+    return (a * 31 + b * 7) % SYMBOLS
+
+
 def boundary_codes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Codes of first and second symbols over texts given as words, and the text each belongs to; the end is a first symbol."""
-    blocks = [b"   " + b" ".join(w) + b" " for w in words]
-    data = np.frombuffer(b"".join(blocks), np.uint8)
+    blocks = [b"    " + b" ".join(w) + b" " for w in words]
+    data = np.frombuffer(b"".join(blocks), np.uint8).astype(np.int64)
     ends = np.cumsum([len(b) for b in blocks])
     space = data == SPACE
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     owner = np.searchsorted(ends, starts, side="right")
     count = np.array([len(w) for w in words])
     last = ends - np.where(count > 0, 0, 1)  # where the next word would start; a text without words is spaces only
-    first = np.concatenate([_code(data[starts - 3], data[starts - 2], data[starts]), _code(data[last - 3], data[last - 2], np.full(len(last), END))])
-    second = _code(data[starts - 2], data[starts], data[starts + 1])
+    at, symbol = np.concatenate([starts, last]), np.concatenate([data[starts], np.full(len(last), END)])
+    first = _code(pair(data[at - 4], data[at - 3]), data[at - 2], symbol)
+    second = _code(pair(data[starts - 3], data[starts - 2]), data[starts], data[starts + 1])
     return first, np.concatenate([owner, np.arange(len(words))]), second, owner
 
 
@@ -164,7 +171,7 @@ class Trie:
         self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.starts = np.cumsum(self.lengths + 1) - self.lengths - 1
         # A space after each word, so that the byte at a word's length is its closing symbol.
-        self.data = np.frombuffer(b" ".join(self.words) + b" ", np.uint8)
+        self.data = np.frombuffer(b" ".join(self.words) + b" ", np.uint8).astype(np.int64)
 
     def levels(self, depth_from: int, depth_to: int):
         """For each depth: the words that reach it, their prefix's number, and their symbol's number among all prefixes' symbols."""
@@ -175,7 +182,7 @@ class Trie:
             active, node_start = _narrow(active, node_start, keep)
             if not len(active):
                 return
-            symbol = self.data[self.starts[active] + depth].astype(np.int64)
+            symbol = self.data[self.starts[active] + depth]
             # The closing space sorts before any byte of a word that may follow, as the shorter word comes first.
             symbol = np.where(self.lengths[active] == depth, -1, symbol)
             child_start = node_start | (np.diff(symbol, prepend=-2) != 0)
@@ -197,13 +204,13 @@ def _narrow(active: np.ndarray, starts: np.ndarray, keep: np.ndarray) -> tuple[n
 
 
 def low_codes(trie: Trie) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (two bytes before, symbol) from every word's second symbol on, and the word each belongs to."""
+    """Codes (bytes before, symbol) from every word's second symbol on, and the word each belongs to."""
     sizes = trie.lengths
     owner = np.repeat(np.arange(len(sizes)), sizes)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
     place = trie.starts[owner] + at
-    before = np.where(at >= 2, trie.data[np.maximum(place - 2, 0)], SPACE)
-    return _code(before, trie.data[place - 1], trie.data[place]), owner
+    third, second = (np.where(at >= n, trie.data[np.maximum(place - n, 0)], SPACE) for n in (3, 2))
+    return _code(pair(third, second), trie.data[place - 1], trie.data[place]), owner
 
 
 def border_counts(trie: Trie) -> dict[bytes, tuple[np.ndarray, np.ndarray]]:
@@ -250,7 +257,8 @@ def word_scores(trie: Trie, low: Table, shared: dict[bytes, tuple[np.ndarray, np
                 count[here] = [match.get(x, 0) for x in symbol[first_child[here]].tolist()]
                 live = symbols[n > 0]
                 t[node[at]], d[node[at]] = n.sum(), len(live)
-                codes_here = _code(np.full(len(live), prefix[-2]), np.full(len(live), prefix[-1]), live)
+                near = pair(prefix[-3] if len(prefix) > 2 else SPACE, prefix[-2])
+                codes_here = _code(np.full(len(live), near), np.full(len(live), prefix[-1]), live)
                 covered[node[at]] = (10 ** low(codes_here).astype(np.float64)).sum()
         count, t, d, covered = count[child], t[node], d[node], covered[node]
         with np.errstate(divide="ignore", invalid="ignore"):

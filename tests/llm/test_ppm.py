@@ -14,17 +14,22 @@ END = 256
 
 def events(words):
     """Per word, and for the end, the symbols with their chains of contexts, longest first."""
-    before = b"  "
+    before = b"   "
     for word in [*words, None]:
+        far, near = ppm.pair(before[0], before[1]), ppm.pair(before[1], before[2])
         if word is None:
-            yield "first", [before, before[1:], b""], END, None
+            yield "first", [(far, before[2]), (before[2],), ()], END, None
             return
-        yield "first", [before, before[1:], b""], word[0], None
+        yield "first", [(far, before[2]), (before[2],), ()], word[0], None
         spelled = word + b" "
-        yield "second", [before[1:] + word[:1], word[:1], b""], spelled[1], word
+        yield "second", [(near, word[0]), (word[0],), ()], spelled[1], word
         for i in range(2, len(spelled)):
             yield "rest", word[:i], spelled[i], word
-        before = (b" " + word)[-2:]
+        before = (before + b" " + word)[-3:]
+
+
+def low_chain(before):
+    return [(ppm.pair(before[-3], before[-2]), before[-1]), (before[-1],), ()]
 
 
 class Model:
@@ -44,9 +49,9 @@ class Model:
                         self.counts[kind][context][symbol] += 1
             seen.update(words)
         for word in seen:
-            spelled = b" " + word + b" "
-            for i in range(2, len(spelled)):
-                for context in (spelled[i - 2 : i], spelled[i - 1 : i], b""):
+            spelled = b"  " + word + b" "
+            for i in range(3, len(spelled)):
+                for context in low_chain(spelled[:i]):
                     self.counts["low"][context][spelled[i]] += 1
 
     def chain(self, kind, contexts, symbol):
@@ -68,7 +73,7 @@ class Model:
             if kind != "rest":
                 total += math.log10(self.chain(kind, chain, symbol))
                 continue
-            low = [chain[-2:], chain[-1:], b""]
+            low = low_chain(b"  " + chain)
             live = self.counts["rest"].get(chain, {}) if len(chain) < ppm.MAX_ORDER else {}
             t, d = sum(live.values()), len(live)
             if symbol in live:
