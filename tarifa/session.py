@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +27,22 @@ def build_session(app_name: str = "tarifa", master: str | None = None, **setting
         builder = builder.master(master)
     for key, value in options.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package's code to the executors, where functions on Arrow batches import it; once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(), "tarifa-code")
+        name = os.path.basename(package)
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), name))
+        _shipped.add(application)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
