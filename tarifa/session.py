@@ -69,9 +69,10 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
     Lineage ends at durable files, so lost executors recompute nothing before this point, and the
     file sizes let the optimizer choose a broadcast for a small table and a shuffle for a large one.
+    Such tables are kept until the results that read them are written, so they are packed densely.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
