@@ -227,7 +227,8 @@ def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame
     columns = schema.names
     spark = docs.sparkSession
     path = new_path(spark, "line_rows")
-    docs.withColumn("text", F.col("text").cast("string")).withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    numbered = docs.withColumn("text", F.col("text").cast("string")).withColumn(ROW, F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
 
     def asked(batch: pa.RecordBatch) -> pa.RecordBatch:

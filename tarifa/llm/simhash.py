@@ -150,7 +150,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS, b
     spark = docs.sparkSession
     path = new_path(spark, "numbered")
     names = [f"c{i}" for i in range(len(docs.columns))]
-    docs.toDF(*names).withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    docs.toDF(*names).withColumn(ROW, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
     text, doc_id = (names[docs.columns.index(c)] for c in ("text", "doc_id"))
     # Rows stand in for ids: the component is named by its first row in the order of ids.
