@@ -210,6 +210,8 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_conte
     )
     parts = save(_sources(rows, asked), "context_bytes")
     whole = shared.join(distinct.filter("n > 1").select(*key), key).select(ROW, "first", (F.col("first") + F.col("bytes")).alias("end"))
+    # A stage of its own, for the same reason: one context may occur in a third of the texts.
+    whole = save(whole, "whole_contexts")
     few, many = parts.filter(F.col("kinds") <= shard_contexts), parts.filter(F.col("kinds") > shard_contexts)
     return whole.unionByName(_in_shards(few, length)).unionByName(_by_window(many, length))
 
