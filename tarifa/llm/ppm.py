@@ -98,19 +98,20 @@ def blend(code: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Log probabilities by code: a row of symbols for every context that occurs; bounded by the alphabet, not by the corpus."""
+    """Log probabilities by code: a row for every context and a column for every symbol that occurs; bounded by the alphabet, not by the corpus."""
 
     def __init__(self, code: np.ndarray, n: np.ndarray):
         order = np.argsort(code)
         code, n = code[order], n[order]
         contexts, rows = np.unique(code // SYMBOLS, return_inverse=True)
-        self.rows = np.full(SYMBOLS * SYMBOLS, 0, np.int32)
-        self.rows[contexts] = np.arange(len(contexts))
-        self.values = np.zeros((max(1, len(contexts)), SYMBOLS), np.float32)
-        self.values[rows, code % SYMBOLS] = blend(code, n.astype(np.float64))
+        symbols, columns = np.unique(code % SYMBOLS, return_inverse=True)
+        self.rows, self.columns = np.zeros(SYMBOLS * SYMBOLS, np.int32), np.zeros(SYMBOLS, np.int32)
+        self.rows[contexts], self.columns[symbols] = np.arange(len(contexts)), np.arange(len(symbols))
+        self.values = np.zeros((max(1, len(contexts)), max(1, len(symbols))), np.float32)
+        self.values[rows, columns] = blend(code, n.astype(np.float64))
 
     def __call__(self, code: np.ndarray) -> np.ndarray:
-        return self.values[self.rows[code // SYMBOLS], code % SYMBOLS]
+        return self.values[self.rows[code // SYMBOLS], self.columns[code % SYMBOLS]]
 
 
 def _table(rows: DataFrame) -> Table:
