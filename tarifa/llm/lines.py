@@ -30,7 +30,7 @@ BROADCAST_BYTES = 32 << 20
 SALTS = 16
 BITS_PER_KEY = 2
 LEVELS = 64
-_SHARD = "shard int, keys long, sizes binary, bits binary, prints binary, counts binary"
+_SHARD = "shard int, keys long, sizes binary, bits binary, prints binary, counts binary, owners binary"
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -87,9 +87,18 @@ class Shard:
         self.rank = np.cumsum(self.bits, dtype=np.int32) - 1
         self.prints = np.frombuffer(row["prints"], np.uint64)
         self.counts = np.frombuffer(row["counts"], np.int64)
-
-    def probe(self, hashes: np.ndarray) -> np.ndarray:
-        """The count of each key, 0 for keys the shard does not hold."""
+        self.owners = np.frombuffer(row["owners"], np.int64)
+
+    def gone(self, hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Whether each key is held, unless its row is the document that keeps it."""
+        gone = self.probe(hashes) > 0
+        if len(self.owners):
+            gone[gone] = self.probe(hashes[gone], self.owners) != rows[gone]
+        return gone
+
+    def probe(self, hashes: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+        """The count of each key, or its entry in ``values``; 0 for keys the shard does not hold."""
+        values = self.counts if values is None else values
         found = np.zeros(len(hashes), np.int64)
         left, start = np.arange(len(hashes)), 0
         for level, size in enumerate(self.sizes):
@@ -97,7 +106,7 @@ class Shard:
             own = self.bits[at]
             index = self.rank[at[own]]
             same = self.prints[index] == hashes[left[own], 1]
-            found[left[own][same]] = self.counts[index[same]]
+            found[left[own][same]] = values[index[same]]
             left, start = left[~own], start + int(size)
             if not len(left):
                 break
@@ -108,6 +117,40 @@ def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes[:, 0] >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
 
 
+def _owners(batch: pa.RecordBatch) -> list[int]:
+    """A 64-bit number per row that stands for its id and text."""
+    ids = batch.column("doc_id").to_pylist()
+    return [xxhash.xxh3_64_intdigest(t, xxhash.xxh3_64_intdigest(repr(i))) for i, t in zip(ids, texts(batch))]
+
+
+def line_owners(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS) -> DataFrame:
+    """Rows of :func:`line_counts` with ``owner``, the number of the key's first document by id, null last, then by number."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, owners = batch.column("doc_id").to_pylist(), np.array(_owners(batch), np.uint64)
+        ranks = [(i is None, 0 if i is None else i, o) for i, o in zip(ids, owners.tolist())]
+        order = np.array(sorted(range(len(ids)), key=ranks.__getitem__), np.int64)
+        values = texts(batch)
+        own = [[k for k in set(line_keys(values[at])) if _long_enough(k, min_code_points)] for at in order]
+        hashes = _hashes([k for keys in own for k in keys])
+        # The first of equal keys is that of the first document, as the documents are in order.
+        halves, first, n = np.unique(hashes, axis=0, return_index=True, return_counts=True)
+        at = np.repeat(order, [len(keys) for keys in own])[first]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(halves[:, 0].view(np.int64)), pa.array(halves[:, 1].view(np.int64)), pa.array(n.astype(np.int64)),
+                batch.column("doc_id").take(pa.array(at)), pa.array(owners[at].view(np.int64)),
+            ],
+            ["place", "print", "n", "doc_id", "owner"],
+        )
+
+    partial = map_texts(only(docs, "doc_id", "text"), count, f"place long, print long, n long, doc_id {kind}, owner long")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "owner"))
+    found = partial.groupBy("place", "print").agg(F.sum("n").alias("n"), first.alias("first"))
+    return found.select("place", "print", "n", F.col("first.owner").alias("owner"))
+
+
 def line_counts(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS) -> DataFrame:
     """``place``, ``print`` (the two halves of the key's hash) and ``n``, the documents that hold the key, for every key."""
 
@@ -124,8 +167,9 @@ def line_counts(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS) -> Data
 
 
 def line_index(frequent: DataFrame) -> tuple[DataFrame, int]:
-    """The sharded hash over rows of :func:`line_counts`, stored, and its number of shards."""
+    """The sharded hash over rows of :func:`line_counts` or :func:`line_owners`, stored, and its number of shards."""
     shards = frequent.count() // SHARD_KEYS + 1
+    owned = "owner" in frequent.columns
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         places = rows["place"].to_numpy(np.int64).view(np.uint64)
@@ -133,6 +177,9 @@ def line_index(frequent: DataFrame) -> tuple[DataFrame, int]:
         prints, counts = np.empty(len(rows), np.uint64), np.empty(len(rows), np.int64)
         prints[index] = rows["print"].to_numpy(np.int64).view(np.uint64)
         counts[index] = rows["n"].to_numpy(np.int64)
+        owners = np.empty(len(rows) if owned else 0, np.int64)
+        if owned:
+            owners[index] = rows["owner"].to_numpy(np.int64)
         return pd.DataFrame(
             {
                 "shard": [int(key[0])],
@@ -141,6 +188,7 @@ def line_index(frequent: DataFrame) -> tuple[DataFrame, int]:
                 "bits": [np.packbits(bits).tobytes()],
                 "prints": [prints.tobytes()],
                 "counts": [counts.tobytes()],
+                "owners": [owners.tobytes()],
             }
         )
 
@@ -154,6 +202,7 @@ def drop_common_lines(
     min_documents: int = MIN_DOCUMENTS,
     min_code_points: int = MIN_CODE_POINTS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep_first: bool = False,
 ) -> DataFrame:
     r"""``docs`` without the lines whose key occurs in at least ``min_documents`` documents.
 
@@ -161,13 +210,23 @@ def drop_common_lines(
     fewer than ``min_code_points`` code points never count. Adds ``n_lines`` and ``n_dropped``; input columns with these names
     are replaced, all others stay. A null text is one empty line and comes back as an empty text, as does a text that loses
     every line. Documents are rows: repeated rows and ids count once each. An empty table gives an empty result.
+
+    With ``keep_first`` the first document that holds a common line, by ``doc_id`` with null last, keeps all its occurrences, so
+    that a text with many copies stays whole in one of them. Of different texts with one id a hash decides; rows that repeat the
+    id and the text of that document are the same document and keep the line too.
     """
-    counted = line_counts(docs, min_code_points).filter(F.col("n") >= min_documents)
+    counts = line_owners if keep_first else line_counts
+    counted = counts(docs, min_code_points).filter(F.col("n") >= min_documents)
     index, shards = line_index(save(counted, "line_counts"))
-    size = index.agg(F.sum(F.expr("length(bits) + length(prints) + length(counts)"))).first()[0] or 0
+    size = index.agg(F.sum(F.expr("length(bits) + length(prints) + length(counts) + length(owners)"))).first()[0] or 0
     if size <= broadcast_bytes:
-        return _drop_with_copies(docs, index, shards)
-    return _drop_at_shards(docs, index, shards)
+        return _drop_with_copies(docs, index, shards, keep_first)
+    return _drop_at_shards(docs, index, shards, keep_first)
+
+
+def _row_owners(batch: pa.RecordBatch, keep_first: bool) -> np.ndarray:
+    """The number of every row as in :func:`line_owners`; zeros if no document keeps lines."""
+    return np.array(_owners(batch), np.uint64).view(np.int64) if keep_first else np.zeros(batch.num_rows, np.int64)
 
 
 def _keep(batch: pa.RecordBatch, columns: list[str], hits) -> pa.RecordBatch:
@@ -197,7 +256,7 @@ def _all_keys(batch: pa.RecordBatch) -> list[bytes]:
     return [key for t in texts(batch) for key in line_keys(t)]
 
 
-def _drop_with_copies(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+def _drop_with_copies(docs: DataFrame, index: DataFrame, shards: int, keep_first: bool) -> DataFrame:
     schema = _output(docs)
     columns = schema.names
     # At most ``broadcast_bytes``, as measured before.
@@ -211,9 +270,10 @@ def _drop_with_copies(docs: DataFrame, index: DataFrame, shards: int) -> DataFra
         def hits(sizes: np.ndarray) -> np.ndarray:
             hashes = _hashes(_all_keys(batch))
             gone, owner = np.zeros(len(hashes), bool), _shard_of(hashes, shards)
+            rows = np.repeat(_row_owners(batch, keep_first), sizes)
             for number, shard in ready.items():
                 own = np.flatnonzero(owner == number)
-                gone[own] = shard.probe(hashes[own]) > 0
+                gone[own] = shard.gone(hashes[own], rows[own])
             return gone
 
         return _keep(batch, columns, hits)
@@ -221,7 +281,7 @@ def _drop_with_copies(docs: DataFrame, index: DataFrame, shards: int) -> DataFra
     return map_texts(docs.withColumn("text", F.col("text").cast("string")), drop, schema)
 
 
-def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int, keep_first: bool) -> DataFrame:
     """The same without copies of the arrays: key hashes travel to salted shards, marks travel back to the stored rows."""
     schema = _output(docs)
     columns = schema.names
@@ -232,8 +292,9 @@ def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame
     rows = spark.read.parquet(path)
 
     def asked(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = {ROW: [], "shard": [], "lines": [], "hashes": []}
-        for row, text in zip(batch.column(ROW).to_pylist(), texts(batch)):
+        out = {ROW: [], "shard": [], "lines": [], "hashes": [], "owner": []}
+        owners = _row_owners(batch, keep_first).tolist()
+        for row, text, holder in zip(batch.column(ROW).to_pylist(), texts(batch), owners):
             hashes = _hashes(line_keys(text))
             owner = _shard_of(hashes, shards)
             for number in np.unique(owner):
@@ -242,10 +303,12 @@ def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame
                 out["shard"].append(int(number))
                 out["lines"].append(lines.astype(np.int64).tobytes())
                 out["hashes"].append(hashes[lines].tobytes())
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                out["owner"].append(holder)
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out))
 
-    asks = map_texts(rows.select(ROW, "text"), asked, f"{ROW} long, shard int, lines binary, hashes binary")
+    read = [ROW, "text", *(["doc_id"] if keep_first else [])]
+    asks = map_texts(rows.select(*read), asked, f"{ROW} long, shard int, lines binary, hashes binary, owner long")
     asks = asks.withColumn("salt", F.expr(f"cast(pmod({ROW}, {SALTS}) as int)"))
     copies = index.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
 
@@ -253,8 +316,9 @@ def _drop_at_shards(docs: DataFrame, index: DataFrame, shards: int) -> DataFrame
         found = []
         if len(right):
             shard = Shard(right.iloc[0])
-            for row, lines, hashes in zip(left[ROW], left["lines"], left["hashes"]):
-                gone = shard.probe(np.frombuffer(hashes, np.uint64).reshape(-1, 2)) > 0
+            for row, lines, hashes, holder in zip(left[ROW], left["lines"], left["hashes"], left["owner"]):
+                hashes = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+                gone = shard.gone(hashes, np.full(len(hashes), holder, np.int64))
                 if gone.any():
                     found.append((row, np.frombuffer(lines, np.int64)[gone].tobytes()))
         return pd.DataFrame(found, columns=[ROW, "gone"])
