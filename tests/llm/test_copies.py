@@ -1,11 +1,13 @@
 """Copied texts in the pipeline: one document of each group stays, with its text."""
 
+import random
+
 import pytest
-from cases import frame
-from test_documents import lower, ordered, SPACE
+from cases import TEXTS, empty, frame
+from test_documents import SPACE, lower, ordered, whole, words_of
 
 import corpus_pipeline as pipeline
-from tarifa.llm import lines
+from tarifa.llm import copies, lines
 
 GROUPS = [[(1000 * g + i, f"first line of text {g}\n}}\nsecond line of text {g}\n}}\nend of {g}") for i in range(12)] for g in range(3)]
 OTHERS = [(None, GROUPS[0][0][1]), (7000, "own line\n}\nlast"), (7000, "other line of the same id\n}"), (7001, None), (7002, "")]
@@ -43,3 +45,58 @@ def test_copied_texts_survive_once(spark, folder):
     kept = stages["near_copies"](spark, stages["lines"](spark, docs, folder), folder)
     texts = [(r["doc_id"], r["text"]) for r in kept.collect() if r["text"]]
     assert ordered(texts) == ordered(group[0] for group in groups)
+
+
+def groups_expected(texts):
+    """Brute force over all pairs; also how many unequal ones are similar."""
+    sets = []
+    for _, text in texts:
+        words = words_of(text)
+        sets.append(frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset())
+    label, similar = list(range(len(sets))), 0
+
+    def root(v):
+        while label[v] != v:
+            v = label[v]
+        return v
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or (5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)):
+                similar += a != b
+                label[root(i)] = root(j)
+    first = {}
+    for at, (i, _) in enumerate(texts):
+        first[root(at)] = min(first.get(root(at), (True, 0)), (i is None, i or 0))
+    return sorted(first.values()), similar
+
+
+def varied(rng):
+    """Families of texts with some words of a common text replaced, from almost equal to hardly alike."""
+    texts = []
+    for family in range(6):
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        for _ in range(30):
+            own = list(words)
+            for at in rng.sample(range(len(own)), rng.randrange(9)):
+                own[at] = f"new{rng.randrange(10**6)}"
+            texts.append((family * 100 + len(texts), " ".join(own)))
+    return texts
+
+
+@pytest.mark.parametrize("bucket", [copies.BUCKET, 3])
+def test_one_of_each_group(spark, folder, bucket):
+    """Against all pairs: none of those that are similar enough is lost, and short texts that share a line stay apart."""
+    shared = [(9000 + i, f"the same opening line for all of them\nthen {i}") for i in range(5)]
+    for texts in (varied(random.Random(8)) + shared, TEXTS, whole(spark, folder)):
+        wanted, _ = groups_expected(texts)
+        kept = copies.keep_one(frame(spark, texts), bucket=bucket)
+        assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == wanted
+    assert copies.keep_one(empty(spark)).count() == 0
+
+
+def test_stage_finds_similar_texts(spark, folder):
+    texts = varied(random.Random(9))
+    wanted, similar = groups_expected(texts)
+    kept = dict(pipeline.STAGES)["near_copies"](spark, frame(spark, texts), folder)
+    assert similar > 200 and sorted((False, r["doc_id"]) for r in kept.collect()) == wanted
