@@ -1,8 +1,8 @@
 """License scans: an inverted index of winnowed fingerprints proposes templates, banded alignment confirms them.
 
 The templates are a fixed list, so their index is small and travels with the task. Documents are winnowed like the templates;
-fingerprints that both have give pairs of positions, pairs on nearby diagonals give a candidate region, and the region is aligned with
-the template inside a band around those diagonals.
+fingerprints that both have give pairs of positions, pairs in order of both are chained across inserted and removed words, and the words
+between two pairs of a chain, and beside its ends, are aligned.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ from tarifa.llm.text import map_texts, only, texts
 
 GRAM_WORDS = 2
 WINDOW = 2
-# Words by which a region may drift from its diagonal, and by which hits on one region may differ.
+# Words that the alignment goes beyond a chain's ends at most, besides those that the template still has.
 BAND = 6
+# Words of a document from one hit of a chain to the next, at most; for a template of fewer words its own, but no less than SHORT_GAP.
+GAP = 64
+SHORT_GAP = 24
 MIN_COVERAGE = 0.7
 # Shared fingerprints that make a candidate, as a share of the template's words; one at least.
 MIN_HITS = 0.1
@@ -50,28 +53,100 @@ class Index:
                 self.places[value].append((name, at))
         self.known = np.array(sorted(self.places), np.uint64)
 
-    def regions(self, words: list[bytes]) -> list[tuple[str, int, int]]:
-        """Candidates: template, first and last diagonal of a run of hits."""
+    def chains(self, words: list[bytes]) -> list[tuple[str, np.ndarray]]:
+        """Candidates: template, and the positions in document and template of hits that ascend in both."""
         grams = gram_hashes(word_hashes(words), GRAM_WORDS)
         kept = winnowed(grams, WINDOW)
         kept = kept[np.isin(grams[kept], self.known)]
-        diagonals: dict[str, list[int]] = defaultdict(list)
+        hits: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for at in kept.tolist():
             for name, place in self.places[int(grams[at])]:
-                diagonals[name].append(at - place)
+                hits[name].append((at, place))
         found = []
-        for name, values in diagonals.items():
-            values = np.sort(values)
+        for name, values in hits.items():
             least = max(1, int(MIN_HITS * len(self.words[name])))
-            for run in np.split(values, np.flatnonzero(np.diff(values) > BAND) + 1):
-                # A long run is cut with overlap, so that the band of one alignment stays narrow.
-                for start in range(int(run[0]), int(run[-1]) + 1, BAND):
-                    inside = run[(run >= start) & (run < start + 2 * BAND)]
-                    if len(inside) >= least:
-                        found.append((name, int(inside[0]), int(inside[-1])))
+            gap = min(GAP, max(SHORT_GAP, len(self.words[name])))
+            all_hits = np.array(values, np.int64)
+            for group in np.split(all_hits, np.flatnonzero(np.diff(all_hits[:, 0]) > gap) + 1):
+                while len(np.unique(group[:, 1])) >= least:
+                    own = chained(group, least, gap)
+                    if not own:
+                        break
+                    found += [(name, group[chain]) for chain in own]
+                    group = np.delete(group, np.concatenate(own), axis=0)
         return found
 
 
+def chained(hits: np.ndarray, least: int, gap: int = GAP) -> list[np.ndarray]:
+    """Rows of ``hits`` (document and template position, by the former) that form chains of ``least`` hits or more, none in two.
+
+    A chain counts its hits and loses less than one for every change of diagonal.
+    """
+    at, place, score, before = hits[:, 0], hits[:, 1], np.ones(len(hits)), np.full(len(hits), -1)
+    starts = np.searchsorted(at, at - gap)
+    for k in range(1, len(hits)):
+        own = slice(starts[k], k)
+        turn = np.abs(at[k] - at[own] - (place[k] - place[own]))
+        gain = score[own] - np.where(turn > 0, 0.5 + 0.4 * turn / (turn + gap), 0)
+        gain[(at[own] >= at[k]) | (place[own] >= place[k])] = 0
+        if len(gain) and gain.max() > 0:
+            # The nearest of equal ones.
+            best = len(gain) - 1 - int(gain[::-1].argmax())
+            score[k], before[k] = 1 + gain[best], starts[k] + best
+    used, found = np.zeros(len(hits), bool), []
+    for k in np.argsort(-score, kind="stable").tolist():
+        chain = []
+        while k >= 0 and not used[k]:
+            used[k] = True
+            chain.append(k)
+            k = int(before[k])
+        if len(chain) >= least:
+            found.append(np.array(chain[::-1]))
+    return found
+
+
+def matches(template: list[bytes], words: list[bytes]) -> list[tuple[int, int]]:
+    """Longest common subsequence: pairs of positions, in order, as late in ``words`` as can be."""
+    if not template or not words:
+        return []
+    numbers = {w: n for n, w in enumerate(dict.fromkeys(words))}
+    own = np.array([numbers[w] for w in words])
+    score = np.zeros((len(template) + 1, len(words) + 1), np.int32)
+    for i, word in enumerate(template):
+        score[i + 1, 1:] = np.maximum.accumulate(np.maximum(score[i, 1:], score[i, :-1] + (own == numbers.get(word, -1))))
+    pairs, i, j = [], len(template), len(words)
+    while i and j:
+        if template[i - 1] == words[j - 1] and score[i, j] == score[i - 1, j - 1] + 1:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+        elif score[i, j] == score[i - 1, j]:
+            i -= 1
+        else:
+            j -= 1
+    return pairs[::-1]
+
+
+def filled(template: list[bytes], words: list[bytes], chain: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of template and document positions: the words of a chain's hits, and alignments between them and beside the ends."""
+    pairs: list[tuple[int, int]] = []
+    for at, place in chain.tolist():
+        if not pairs:
+            start = max(0, at - place - BAND)
+            pairs = [(i, start + j) for i, j in matches(template[:place], words[start:at])]
+            done, upto = place, at
+        elif place > done and at > upto:
+            pairs += [(done + i, upto + j) for i, j in matches(template[done:place], words[upto:at])]
+            done, upto = place, at
+        # Words of a gram that an earlier one has used are not paired again.
+        for step in range(GRAM_WORDS):
+            if place + step >= done and at + step >= upto:
+                pairs.append((place + step, at + step))
+                done, upto = place + step + 1, at + step + 1
+    rest, tail = template[done:][::-1], words[upto : upto + len(template) - done + BAND]
+    pairs += [(len(template) - 1 - i, upto + len(tail) - 1 - j) for i, j in reversed(matches(rest, tail[::-1]))]
+    return pairs
+
+
 def align(template: list[bytes], words: list[bytes], low: int, high: int) -> list[tuple[int, int]]:
     """Longest common subsequence inside the band: pairs of template and document positions, in order.
 
@@ -103,8 +178,8 @@ def scan_text(text: bytes, index: Index, min_coverage: float) -> list[tuple[str,
     """Per finding: template, first word, word past the last, matched words, coverage; overlapping ones of a template give the best."""
     words = item_words(text)
     found = []
-    for name, low, high in index.regions(words):
-        pairs = align(index.words[name], words, low - BAND, high + BAND)
+    for name, chain in index.chains(words):
+        pairs = filled(index.words[name], words, chain)
         coverage = len(pairs) / len(index.words[name])
         if coverage >= min_coverage:
             found.append((name, pairs[0][1], pairs[-1][1] + 1, len(pairs), coverage))
