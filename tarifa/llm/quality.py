@@ -38,6 +38,8 @@ _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 FEATURES = len(_GROUPS) + 10
 # Longer texts are described in parts, so that the arrays of one part stay small.
 LONG_TEXT = 8 << 20
+# Bytes of a passage longer than that which are counted at once.
+PASSAGE_CHUNK = 1 << 20
 
 
 def bags(texts_: list[bytes], size: int = PASSAGE_WORDS) -> list[np.ndarray]:
@@ -46,7 +48,8 @@ def bags(texts_: list[bytes], size: int = PASSAGE_WORDS) -> list[np.ndarray]:
         half = len(texts_) // 2
         return bags(texts_[:half], size) + bags(texts_[half:], size)
     if texts_ and len(texts_[0]) > LONG_TEXT:
-        return [np.concatenate([bags([part], size)[0] for part in _parts(texts_[0], size)])]
+        parts = [_long_passage(p) if len(p) > LONG_TEXT else bags([p], size)[0] for p in _parts(texts_[0], size)]
+        return [np.concatenate(parts)]
     words = [t.split() for t in texts_]
     runs = [w[i : i + size] for w in words for i in range(0, len(w), size)]
     counts = np.array([-(-len(w) // size) for w in words], np.int64)
@@ -70,8 +73,25 @@ def _parts(text: bytes, size: int) -> list[bytes]:
     firsts = cuts[np.flatnonzero(np.diff(number, prepend=-1))] if len(cuts) else cuts
     edges = [0, *firsts[1:].tolist(), len(text)]
     parts = [text[a:b] for a, b in zip(edges, edges[1:])]
-    # One passage of giant words cannot be cut; its words are shortened, which changes no share by much.
-    return [p if len(p) <= LONG_TEXT else b" ".join(w[: LONG_TEXT // (2 * size)] for w in p.split()) for p in parts]
+    return [cut for p in parts for cut in ([p] if len(p) <= LONG_TEXT else _passages(p, size))]
+
+
+def _passages(text: bytes, size: int) -> list[bytes]:
+    edges = [0, *_word_starts(text)[::size][1:].tolist(), len(text)]
+    return [text[a:b] for a, b in zip(edges, edges[1:])]
+
+
+def _long_passage(text: bytes) -> np.ndarray:
+    """The features of one passage, tallied chunk by chunk so that only small arrays are held besides the text."""
+    words = text.split()
+    if not words:
+        return np.zeros((1, FEATURES))
+    data = np.frombuffer(text, np.uint8)[len(text) - len(text.lstrip()) :]
+    tally = np.zeros((1, 256), np.int64)
+    for start in range(0, len(data), PASSAGE_CHUNK):
+        tally[0] += np.bincount(data[start : start + PASSAGE_CHUNK], minlength=256)
+    lengths = np.array([len(w) for w in words], np.int64)
+    return np.column_stack([_described(tally, lengths, np.zeros(1, np.int64)), [_repetition(words)]])
 
 
 def _shares(texts_: list[bytes], words: list[list[bytes]], size: int) -> np.ndarray:
@@ -85,11 +105,15 @@ def _shares(texts_: list[bytes], words: list[list[bytes]], size: int) -> np.ndar
     edges = np.append(starts[first], len(data))
     owner = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(edges))
     at = owner * np.int64(256) + data[edges[0] :]
-    tally = np.bincount(at, minlength=256 * len(first)).reshape(-1, 256)
+    return _described(np.bincount(at, minlength=256 * len(first)).reshape(-1, 256), lengths, first)
+
+
+def _described(tally: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Features of passages from their byte counts, the lengths of all words and the number of each passage's first word."""
     total = tally.sum(axis=1, keepdims=True)
     rate = tally / total
     spread = -(rate * np.log(np.where(tally, rate, 1))).sum(axis=1)
-    n = np.diff(np.append(first, len(starts)))
+    n = np.diff(np.append(first, len(lengths)))
     mean = np.add.reduceat(lengths, first) / n
     square = np.add.reduceat(lengths.astype(np.float64) ** 2, first) / n
     return np.column_stack(
