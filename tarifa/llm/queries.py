@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import decontaminate, language, licenses, lines, packing, ppm, quality, rules, simhash, suffixes
+from tarifa.llm import credentials, decontaminate, language, licenses, lines, packing, ppm, quality, rules, simhash, suffixes
 from tarifa.llm.oracles import ORACLES  # noqa: F401
 from tarifa.sources.tables import read_table
 
@@ -102,6 +102,22 @@ def near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.similar(read_table(spark, folder, "documents"))
 
 
+def secrets_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = credentials.scan(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+    def base(span: Column) -> Column:
+        return span["kind"].isin(*credentials.BASE_KINDS)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(listed(F.filter("secrets", base)), 256).alias("base_sha256")
+    return found.select("doc_id", *map(count, credentials.BASE_KINDS), digest, listed(F.col("secrets")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": document_languages,
     "op2_license_scan": licenses_found,
@@ -113,5 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": contaminated,
     "op9_simhash_near_dedup": near_copies,
     "op10_quality_classifier": quality_scored,
+    "op12_secret_scan": secrets_found,
     "pages_language_id": page_languages,
 }
