@@ -49,7 +49,62 @@ SELECT d.doc_id, cast(len(d.words) AS BIGINT) AS n_words, coalesce(w.n_hit, 0) A
 FROM docs d LEFT JOIN words_hit w USING (row_no) LEFT JOIN items_hit i USING (row_no)
 """
 
+# The CRC-32 of every word of ``{words}`` (``word``): a table of 256 remainders, then one step per byte.
+_WORD_CRC = """
+crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS steps
+    FROM range(256) r(i)
+),
+word_bytes AS (
+    SELECT word, list_transform(range(1, length(hex(word)) // 2 + 1), lambda i: 16 * strpos('123456789ABCDEF', substr(hex(word), 2 * i - 1, 1))
+               + strpos('123456789ABCDEF', substr(hex(word), 2 * i, 1))) AS bytes
+    FROM (SELECT DISTINCT word FROM {words})
+),
+word_crc AS (
+    SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS crc
+    FROM word_bytes, crc_table
+)"""
+
+RESAMPLING = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+doc_words AS (SELECT row_no, unnest(words) AS word FROM docs),
+all_words AS (SELECT word FROM doc_words UNION SELECT word FROM items),
+{_WORD_CRC.format(words="all_words")},
+source AS (SELECT crc % 10000 AS bucket, count(*) AS s FROM doc_words JOIN word_crc USING (word) GROUP BY 1),
+target AS (SELECT crc % 10000 AS bucket, count(*) AS t FROM items JOIN word_crc USING (word) GROUP BY 1),
+totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM source)::DOUBLE + 10000 AS s_all,
+                  (SELECT coalesce(sum(t), 0) FROM target)::DOUBLE + 10000 AS t_all),
+gain AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * s_all / ((s + 1)::DOUBLE * t_all)))::BIGINT AS gain
+    FROM source LEFT JOIN target USING (bucket), totals
+),
+sums AS (
+    SELECT row_no, count(*) AS n, sum(gain)::BIGINT AS total
+    FROM doc_words JOIN word_crc USING (word) JOIN gain ON gain.bucket = crc % 10000 GROUP BY row_no
+),
+weights AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features,
+           coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+           ('0x' || substr(sha256('2024:' || cast(doc_id AS VARCHAR)), 1, 8))::BIGINT AS h
+    FROM docs LEFT JOIN sums USING (row_no)
+),
+scored AS (
+    SELECT doc_id, n_features, weight,
+           weight + floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM weights
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+           count(*) OVER (PARTITION BY n_features >= 20) AS n
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+
 ORACLES = {
     "op7_line_dedup": LINE_DEDUP,
     "op8_benchmark_decontamination": DECONTAMINATION,
+    "op13_importance_resampling": RESAMPLING,
 }

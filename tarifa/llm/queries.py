@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import credentials, decontaminate, language, licenses, lines, packing, ppm, quality, rules, simhash, suffixes
+from tarifa.llm import credentials, decontaminate, language, licenses, lines, packing, ppm, quality, resampling, rules, simhash, suffixes
 from tarifa.llm.oracles import ORACLES  # noqa: F401
 from tarifa.sources.tables import read_table
 
@@ -118,6 +118,10 @@ def secrets_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *map(count, credentials.BASE_KINDS), digest, listed(F.col("secrets")).alias("spans"))
 
 
+def resampled(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": document_languages,
     "op2_license_scan": licenses_found,
@@ -130,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": near_copies,
     "op10_quality_classifier": quality_scored,
     "op12_secret_scan": secrets_found,
+    "op13_importance_resampling": resampled,
     "pages_language_id": page_languages,
 }
