@@ -103,8 +103,51 @@ ranked AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
 """
 
+
+def _rounds(rounds: int) -> str:
+    """Assignment and new centroids, ``rounds`` times."""
+    steps = []
+    for i in range(rounds + 1):
+        # The smallest distance, then the smallest number, of eight centroids.
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+    SELECT row_no, min(8 * list_sum(list_transform(list_zip(q, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT + cluster) AS best
+    FROM kept, centroids{i} GROUP BY row_no
+)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS (
+    SELECT cluster, pos, sum(x)::HUGEINT AS total, count(*) AS n
+    FROM (SELECT best % 8 AS cluster, unnest(q) AS x, generate_subscripts(q, 1) AS pos FROM near{i} JOIN kept USING (row_no))
+    GROUP BY cluster, pos
+),
+moved{i} AS (
+    SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY pos) AS c FROM sums{i} GROUP BY cluster
+),
+centroids{i + 1} AS MATERIALIZED (
+    SELECT o.cluster, coalesce(m.c, o.c) AS c FROM centroids{i} o LEFT JOIN moved{i} m USING (cluster)
+)""")
+    return ",".join(steps)
+
+
+CLUSTERING = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY digest, q) - 1 AS cluster, q AS c
+    FROM (SELECT *, sha256('3:' || coalesce(cast(vec_id AS VARCHAR), '')) AS digest FROM kept ORDER BY digest, q LIMIT 8)
+),{_rounds(10)},
+placed AS (SELECT vec_id, (best % 8)::INTEGER AS cluster, best // 8 AS distance FROM near10 JOIN kept USING (row_no))
+SELECT vec_id, p.cluster, distance, sum(distance) OVER (PARTITION BY p.cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM placed p JOIN centroids10 c ON c.cluster = p.cluster
+"""
+
 ORACLES = {
     "op7_line_dedup": LINE_DEDUP,
     "op8_benchmark_decontamination": DECONTAMINATION,
+    "op11_centroid_clustering": CLUSTERING,
     "op13_importance_resampling": RESAMPLING,
 }

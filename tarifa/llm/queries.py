@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import credentials, decontaminate, language, licenses, lines, packing, ppm, quality, resampling, rules, simhash, suffixes
+from tarifa.llm import credentials, decontaminate, language, licenses, lines, packing, ppm, quality, resampling, rules, simhash, subvectors, suffixes
 from tarifa.llm.oracles import ORACLES  # noqa: F401
 from tarifa.sources.tables import read_table
 
@@ -102,6 +102,10 @@ def near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.similar(read_table(spark, folder, "documents"))
 
 
+def clustered(spark: SparkSession, folder: str) -> DataFrame:
+    return subvectors.cluster(read_table(spark, folder, "embeddings"))
+
+
 def secrets_found(spark: SparkSession, folder: str) -> DataFrame:
     found = credentials.scan(read_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -133,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": contaminated,
     "op9_simhash_near_dedup": near_copies,
     "op10_quality_classifier": quality_scored,
+    "op11_centroid_clustering": clustered,
     "op12_secret_scan": secrets_found,
     "op13_importance_resampling": resampled,
     "pages_language_id": page_languages,
