@@ -41,6 +41,14 @@ FROM fact GROUP BY ALL""",
 oracle("materialize_table", "SELECT * FROM routes", "routes")
 oracle("clustered_write", "SELECT * FROM fact", "fact")
 oracle("incremental_upsert", "SELECT * FROM upserted", "upserted")
+oracle(
+    "month_key_filter",
+    f"""SELECT strftime(search_date, '%Y-%m') AS search_month, count(*) AS table_rows,
+  count(*) FILTER (leg_id IN (SELECT leg_id FROM staging WHERE search_date >= DATE '{FIRST_LOAD_END}' - 60)) AS known_rows
+FROM loaded GROUP BY 1""",
+    "loaded",
+    "staging",
+)
 oracle("stream_upsert", "SELECT * FROM upserted", "upserted")
 oracle(
     "schema_sync",

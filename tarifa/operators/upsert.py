@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarifa import schemas
+from tarifa.operators import key_filter
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
 from tarifa.session import path_exists, remove_path
 from tarifa.sources.tables import RAW_MONTH
@@ -97,7 +98,7 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(staging_schema(staged)).parquet(path).drop(MONTH)
 
 
-def _write_months(df: DataFrame, path: str) -> None:
+def write_months(df: DataFrame, path: str) -> None:
     """Write the months in ``df``, each replaced as a whole; other months stay.
 
     The rebalance hint splits a hot month over tasks and merges small ones.
@@ -152,7 +153,8 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str)
     """Load raw rows into the staging table at ``path``, which is stored by search month.
 
     Rows before the high-water mark are ignored, the rest are staged, reduced to one row per key and upserted. Only months that
-    hold a replaced or new row are rewritten. Their new content is first stored complete beside the table and noted in the ledger of
+    hold a replaced or new row are rewritten, and only months whose key filter has one of the batch's keys are searched for such
+    rows. Their new content is first stored complete beside the table and noted in the ledger of
     loads; from there it is published. A load that failed before that note starts anew; a load that failed after it is published
     by the next one, under whatever id. A finished ``load_id`` is not loaded again: with the input it had, nothing happens, with
     other input it is an error. The stored columns follow those of the batch: new ones are empty in old rows, lost ones are
@@ -173,7 +175,7 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str)
     mark = newest_date(current)
     rows, hashed = _fingerprint(bronze, mark)
     stored = f"{path.rstrip('/')}_batches/{uuid.uuid4().hex}"
-    _store_merged(current, since_mark(bronze, mark), stored)
+    _store_merged(current, since_mark(bronze, mark), stored, path)
     entry = {"sequence": len(ledger.rows), "load_id": load_id, "mark": mark, "input_rows": rows, "input_hash": hashed, "stored": stored}
     ledger.add(state="merged", **entry)
     _finish(ledger, ledger.pending(), path, schema)
@@ -187,24 +189,38 @@ def _finish(ledger: Ledger, pending: Row, path: str, schema: StructType) -> None
     remove_path(spark, stored)
 
 
-def _store_merged(current: DataFrame, arrived: DataFrame, stored: str) -> None:
+def filters_path(path: str) -> str:
+    """Where the key filters of the table at ``path`` are stored."""
+    return f"{path.rstrip('/')}_keys"
+
+
+def rows_of_known_keys(current: DataFrame, fresh: DataFrame, filters: DataFrame) -> DataFrame:
+    """Key and month of the rows in ``current`` that ``fresh`` replaces; months that its filters rule out are not read."""
+    months = key_filter.months_to_scan(current, filters, fresh, KEY, MONTH)
+    return current.where(F.col(MONTH).isin(months)).select(KEY, MONTH).join(fresh.select(KEY), KEY, "left_semi")
+
+
+def _store_merged(current: DataFrame, arrived: DataFrame, stored: str, path: str) -> None:
     spark = current.sparkSession
     fresh = one_per_key(stage_flights(arrived))
     fresh.withColumn(MONTH, search_month()).write.parquet(f"{stored}/fresh")
     # Read back from files: their size decides whether the key joins below broadcast or shuffle.
     fresh = spark.read.schema(current.schema).parquet(f"{stored}/fresh")
-    replaced = current.select(KEY, MONTH).join(fresh.select(KEY), KEY, "left_semi")
+    replaced = rows_of_known_keys(current, fresh, key_filter.read_filters(spark, filters_path(path), MONTH))
     replaced.select(MONTH).union(fresh.select(MONTH)).distinct().write.parquet(f"{stored}/touched")
     rewritten = current.where(F.col(MONTH).isin(_months(spark, stored)))
-    _write_months(upsert(rewritten, fresh), f"{stored}/merged")
+    write_months(upsert(rewritten, fresh), f"{stored}/merged")
 
 
 def _publish(merged: DataFrame, path: str, touched: list[str]) -> None:
     kept = {row[0] for row in merged.select(MONTH).distinct().collect()}
+    gone = sorted(set(touched) - kept)
+    # Months in ``touched`` keep their old filters until the table has changed; a load that fails in between is finished first.
     if kept:
-        _write_months(merged, path)
+        write_months(merged, path)
+    key_filter.write_filters(merged, filters_path(path), KEY, MONTH, gone)
     # Months left without rows: their folders go, without a job for each.
-    for month in sorted(set(touched) - kept):
+    for month in gone:
         remove_path(merged.sparkSession, f"{path}/{MONTH}={month}")
 
 
