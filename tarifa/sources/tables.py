@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tarifa import schemas
+from tarifa.sources.csv_ranges import read_csv
 
 RAW_MONTH = "SEARCHMONTH"
 
@@ -37,13 +38,14 @@ def csv_to_parquet(
 ) -> int:
     """Convert CSV with a header to Snappy Parquet and return the number of records.
 
-    An empty field is null, quoted or not. A record that does not fit the schema stops the conversion. Line breaks inside quotes
-    belong to the field, and a file is read by one task; without ``multi_line``, for files that hold none, large files are split.
+    An empty field is null, quoted or not. A record that does not fit the schema stops the conversion. Large files are split. Line
+    breaks inside quotes belong to the field; ``multi_line`` may be off for files that hold none, which are then read once only.
     """
     written = Observation()
-    rows = spark.read.schema(schema).csv(
-        csv_path, header=True, multiLine=multi_line, escape='"', mode="FAILFAST"
-    )
+    if multi_line:
+        rows = read_csv(spark, csv_path, schema)
+    else:
+        rows = spark.read.schema(schema).csv(csv_path, header=True, escape='"', mode="FAILFAST")
     rows.observe(written, F.count(F.lit(1)).alias("records")).write.mode("overwrite").option(
         "compression", "snappy"
     ).parquet(parquet_path)
