@@ -199,6 +199,11 @@ oracle(
 )
 HELD_OUT = f"SELECT count(*) FROM encoded WHERE {share('split', ['total_fare', *FEATURES])} < CAST(0.1 AS DOUBLE)"
 oracle("train_gbt", f"SELECT ({HELD_OUT}) AS rows_scored, TRUE AS better_than_mean", "encoded")
+oracle(
+    "patience_stopping",
+    f"SELECT ({HELD_OUT}) AS rows_scored, TRUE AS best_is_least, TRUE AS stops_in_time, TRUE AS cut_model_has_loss",
+    "encoded",
+)
 oracle(
     "train_ensemble",
     f"""SELECT model, ({HELD_OUT}) AS rows_scored, TRUE AS better_than_mean, TRUE AS blend_is_mean

@@ -24,6 +24,7 @@ from tarifa.operators import (
     quality,
     sampling,
     staging,
+    stopping,
     training,
     upsert,
 )
@@ -459,6 +460,24 @@ def train_gbt(t: Tables) -> DataFrame:
     return found.select("rows_scored", (F.col("r2") > 0).alias("better_than_mean"))
 
 
+@query
+def patience_stopping(t: Tables) -> DataFrame:
+    """Hold-out rows, whether the chosen round has the smallest loss of all rounds looked at and no more of them follow than the
+    patience allows, and whether the model cut there has that loss."""
+    marked, patience = save(_marked(t), "marked"), 3
+    found = stopping.fit_with_patience(marked, rounds=24, patience=patience, depth=4, rate=0.5)
+    scored = training.score(found.model, marked.where("is_test"))
+    least, looked_at = min(found.losses), len(found.losses)
+    wasted = looked_at - found.best
+    error = F.avg(F.pow(F.col("prediction") - F.col("total_fare").cast("double"), 2))
+    return scored.agg(F.count(F.lit(1)).alias("rows_scored"), error.alias("error")).select(
+        "rows_scored",
+        F.lit(found.losses[found.best - 1] == least).alias("best_is_least"),
+        F.lit(wasted == patience or (wasted < patience and looked_at == 24)).alias("stops_in_time"),
+        (F.abs(F.col("error") - least) <= 1e-6 * least).alias("cut_model_has_loss"),
+    )
+
+
 @query
 def train_ensemble(t: Tables) -> DataFrame:
     """The same for three regressors and their blend, and whether the blend is the weighted sum of the three."""
