@@ -191,6 +191,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(ML_COLUMNS)}) AS copy
 WHERE {share("sample", [*ML_COLUMNS, "copy_number"])} < CAST(0.3 AS DOUBLE)""",
     "ml",
 )
+oracle(
+    "ordered_target_means",
+    """SELECT leg_id, airline_key, total_fare,
+  round((CAST(coalesce(sum(total_fare) OVER earlier, 0) AS DOUBLE) + 600) / (count(*) OVER earlier + 2), 6) AS earlier_mean,
+  round((CAST(sum(total_fare) OVER every AS DOUBLE) + 600) / (count(*) OVER every + 2), 6) AS served_mean
+FROM fact WINDOW earlier AS (PARTITION BY airline_key ORDER BY md5(concat_ws('|', 'order', '42', leg_id))
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), every AS (PARTITION BY airline_key)""",
+    "fact",
+)
 oracle("train_test_split", f"SELECT *, {share('split', ML_COLUMNS)} < CAST(0.1 AS DOUBLE) AS is_test FROM ml", "ml")
 oracle(
     "preview",

@@ -25,6 +25,7 @@ from tarifa.operators import (
     sampling,
     staging,
     stopping,
+    target_means,
     training,
     upsert,
 )
@@ -379,6 +380,16 @@ def ensemble_features(t: Tables) -> DataFrame:
     return encoding.encode(rows, save(encoding.fit_codes(rows, names), "codes"), names)
 
 
+@query
+def ordered_target_means(t: Tables) -> DataFrame:
+    """Fares with the mean fare of their airline over earlier rows, and over all rows as a new row would see it."""
+    fares = t.fact.select("leg_id", "airline_key", "total_fare")
+    seen = target_means.with_ordered_means(fares, "airline_key", "total_fare", ["leg_id"], prior=300.0, weight=2.0)
+    totals = save(target_means.category_totals(fares, "airline_key", "total_fare"), "totals")
+    served = target_means.with_known_means(seen, totals, "airline_key", 300.0, 2.0, output="served_mean")
+    return served.select("leg_id", "airline_key", "total_fare", stable(F.col("airline_key_mean")).alias("earlier_mean"), stable(F.col("served_mean")).alias("served_mean"))
+
+
 @query
 def feature_vector(t: Tables) -> DataFrame:
     return t.prepared[0].select(encoding.feature_columns())

@@ -8,9 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.operators import dimensions, facts, quality, training
+from tarifa.operators import dimensions, facts, quality, stopping, training
 from tarifa.operators.pricing import price_batch, with_defaults
-from tarifa.operators.upsert import load_batch, read_staging
+from tarifa.operators.sampling import mark_test_rows, sample_rows
+from tarifa.operators.upsert import KEY, load_batch, read_staging
 from tarifa.session import path_exists, save
 from tarifa.sources import generator, seeds
 from tarifa.sources.tables import append_bronze, read_bronze, write_clustered, write_table
@@ -87,14 +88,27 @@ def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/gold/{run_id}/{name}")
 
 
-def train(spark: SparkSession, root: str, model_path: str, sample: float = 0.3, **sizes) -> None:
-    """Train on a sample of the published feature table and store model and codes."""
-    from tarifa.operators.sampling import mark_test_rows, sample_rows
-
-    encoded, codes = training.prepare(sample_rows(read_gold(spark, root, "ml_features"), sample), save)
-    marked = mark_test_rows(encoded)
-    model = training.fit(marked, training.boosted_trees(stop_on="is_test", **sizes))
-    training.save_model(model, codes, model_path)
+def train(
+    spark: SparkSession,
+    root: str,
+    model_path: str,
+    sample: float = 0.3,
+    trees: int = 1500,
+    patience: int = stopping.PATIENCE,
+    **sizes,
+) -> list[float]:
+    """Train on a sample of the published fares and store model and codes; returns the hold-out loss of every boosting round.
+
+    The fact is sampled by its key, without a shuffle, and only the sample is joined into wide rows.
+    """
+    fact, calendar, airlines, airports = (
+        read_gold(spark, root, name) for name in ("flight_prices", "calendar", "airlines", "airports")
+    )
+    wide = facts.ml_features(sample_rows(fact, sample, [KEY]), calendar, airlines, airports)
+    encoded, codes = training.prepare(wide, save)
+    found = stopping.fit_with_patience(save(mark_test_rows(encoded), "marked"), trees, patience, **sizes)
+    training.save_model(found.model, codes, model_path)
+    return found.losses
 
 
 def price(spark: SparkSession, requests: DataFrame, model_path: str, keep: list[str] | None = None) -> DataFrame:
