@@ -219,6 +219,12 @@ oracle(
 FROM (SELECT unnest(['boosted', 'boosted_shallow', 'forest', 'blend']) AS model)""",
     "encoded",
 )
+oracle(
+    "train_blend",
+    f"""SELECT model, ({HELD_OUT}) AS rows_scored, TRUE AS better_than_mean, TRUE AS trees_grown
+FROM (SELECT unnest(['boosted', 'leafwise', 'ordered', 'blend']) AS model)""",
+    "encoded",
+)
 oracle("score_table", "SELECT airline_code, count(*) AS rows_scored, count(*) AS rows_predicted FROM encoded GROUP BY ALL", "encoded")
 oracle(
     "feature_importance_topk",

@@ -19,6 +19,7 @@ from tarifa.operators import (
     encoding,
     facts,
     key_filter,
+    leafwise,
     metrics,
     pricing,
     quality,
@@ -510,6 +511,30 @@ def train_ensemble(t: Tables) -> DataFrame:
     return found.select("model", "rows_scored", (F.col("r2") > 0).alias("better_than_mean"), "blend_is_mean")
 
 
+@query
+def train_blend(t: Tables) -> DataFrame:
+    """Three unlike regressors and their blend on the hold-out rows: boosted trees, leaf-wise trees, and boosted trees over ordered
+    mean fares of the airline in place of its code."""
+    marked = save(_marked(t), "marked")
+    train, held_out = marked.where("NOT is_test").drop("is_test"), marked.where("is_test").drop("is_test")
+    scored = training.score(training.fit(train, training.boosted_trees(**SIZES)), held_out, output="boosted")
+    grown = leafwise.fit(train, trees=SIZES["trees"], leaves=15, rate=0.3)
+    scored = leafwise.score(grown, scored, "leafwise")
+    mean = {"category": "airline_code", "prior": 300.0, "output": "airline_code"}
+    ordered = target_means.with_ordered_means(train, label="total_fare", key=MODEL_COLUMNS, **mean)
+    totals = save(target_means.category_totals(train, "airline_code", "total_fare"), "totals")
+    known = target_means.with_known_means(scored.withColumn("code", F.col("airline_code")), totals, **mean)
+    scored = training.score(training.fit(ordered, training.boosted_trees(**SIZES)), known, output="ordered")
+    names = ["boosted", "leafwise", "ordered"]
+    scored = scored.withColumn("blend", metrics.blend(names))
+    stacked = scored.unpivot("total_fare", [*names, "blend"], "model", "prediction")
+    found = stacked.groupBy("model").agg(*metrics.metric_columns("total_fare", "prediction"))
+    largest = max(len(set(t.left) | set(t.right)) for t in grown.trees)
+    return found.select(
+        "model", "rows_scored", (F.col("r2") > 0).alias("better_than_mean"), F.lit(largest > 0 and len(grown.trees) == 8).alias("trees_grown")
+    )
+
+
 @query
 def score_table(t: Tables) -> DataFrame:
     """Scored rows by airline code, and those with a prediction that is a number."""
