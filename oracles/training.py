@@ -50,6 +50,13 @@ FROM loaded GROUP BY 1""",
     "staging",
 )
 oracle("stream_upsert", "SELECT * FROM upserted", "upserted")
+oracle(
+    "stream_deduplicated",
+    """SELECT strftime(SEARCHDATE, '%Y-%m') AS search_month, count(*) AS passed_rows FROM (
+  SELECT DISTINCT LEGID, SEARCHDATE FROM raw UNION SELECT DISTINCT LEGID, SEARCHDATE FROM requoted) GROUP BY 1""",
+    "raw",
+    "requoted",
+)
 oracle(
     "schema_sync",
     f"""SELECT leg_id, search_date, total_fare,

@@ -518,7 +518,7 @@ def train_blend(t: Tables) -> DataFrame:
     marked = save(_marked(t), "marked")
     train, held_out = marked.where("NOT is_test").drop("is_test"), marked.where("is_test").drop("is_test")
     scored = training.score(training.fit(train, training.boosted_trees(**SIZES)), held_out, output="boosted")
-    grown = leafwise.fit(train, trees=SIZES["trees"], leaves=15, rate=0.3)
+    grown = leafwise.fit(train, trees=SIZES["trees"] // 2, leaves=15, rate=0.3)
     scored = leafwise.score(grown, scored, "leafwise")
     mean = {"category": "airline_code", "prior": 300.0, "output": "airline_code"}
     ordered = target_means.with_ordered_means(train, label="total_fare", key=MODEL_COLUMNS, **mean)
@@ -531,7 +531,7 @@ def train_blend(t: Tables) -> DataFrame:
     found = stacked.groupBy("model").agg(*metrics.metric_columns("total_fare", "prediction"))
     largest = max(len(set(t.left) | set(t.right)) for t in grown.trees)
     return found.select(
-        "model", "rows_scored", (F.col("r2") > 0).alias("better_than_mean"), F.lit(largest > 0 and len(grown.trees) == 8).alias("trees_grown")
+        "model", "rows_scored", (F.col("r2") > 0).alias("better_than_mean"), F.lit(largest > 0 and len(grown.trees) == SIZES["trees"] // 2).alias("trees_grown")
     )
 
 
@@ -807,6 +807,20 @@ def stream_upsert(t: Tables) -> DataFrame:
     return upsert.read_staging(t.spark, table).drop("loaded_at")
 
 
+@query
+def stream_deduplicated(t: Tables) -> DataFrame:
+    """All raw rows, the same once more, and all of them quoted again, through the stream that drops repeats: the rows let through by
+    month of search."""
+    from tarifa.streaming.dedup import stream_once
+
+    landing, output, checkpoint = (new_path(t.spark, n) for n in ("landing", "once", "checkpoint"))
+    for arrival in (t.raw, t.raw, t.requoted):
+        arrival.write.mode("append").parquet(landing)
+        stream_once(t.spark, landing, output, checkpoint, delay="3000 days").awaitTermination()
+    passed = t.spark.read.schema(t.raw.schema).parquet(output)
+    return passed.groupBy(F.date_format("SEARCHDATE", "yyyy-MM").alias("search_month")).agg(F.count(F.lit(1)).alias("passed_rows"))
+
+
 @query
 def stream_price_requests(t: Tables) -> DataFrame:
     """The line items as a stream, joined with the orders, turned into requests and priced."""
