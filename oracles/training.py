@@ -40,6 +40,12 @@ FROM fact GROUP BY ALL""",
 )
 oracle("materialize_table", "SELECT * FROM routes", "routes")
 oracle("clustered_write", "SELECT * FROM fact", "fact")
+oracle(
+    "interleaved_write",
+    """SELECT airline_key, count(*) AS flights, min(date_key) AS first_day, CAST(sum(total_fare) AS DECIMAL(20,2)) AS revenue,
+  TRUE AS airline_spares_files, TRUE AS day_spares_files FROM fact GROUP BY 1""",
+    "fact",
+)
 oracle("incremental_upsert", "SELECT * FROM upserted", "upserted")
 oracle(
     "month_key_filter",

@@ -32,7 +32,7 @@ from tarifa.operators import (
 )
 from tarifa.plans.tables import FIRST_LOAD_END, Tables
 from tarifa.session import new_path, save
-from tarifa.sources import generator, seeds, tables
+from tarifa.sources import generator, interleaved, seeds, tables
 from tarifa.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -148,6 +148,22 @@ def clustered_write(t: Tables) -> DataFrame:
     return tables.write_clustered(t.fact, path, ["date_key", "airline_key"], spread=["leg_id"])
 
 
+@query
+def interleaved_write(t: Tables) -> DataFrame:
+    """Fares by airline, read from files laid out by day and airline alike, with the share of files that a day or an airline leaves."""
+    path = new_path(t.spark, "fact")
+    fares = t.fact.select("leg_id", "date_key", "airline_key", "total_fare")
+    table = interleaved.write_interleaved(fares, path, ["date_key", "airline_key"], spread=["leg_id"], partitions=64)
+    airline, day = table.agg(F.max("airline_key"), F.max("date_key")).first()
+    spared = [2 * found <= files for found, files in (
+        interleaved.files_that_may_hold(table, "airline_key", airline), interleaved.files_that_may_hold(table, "date_key", day)
+    )]
+    by_airline = table.groupBy("airline_key").agg(
+        F.count(F.lit(1)).alias("flights"), F.min("date_key").alias("first_day"), F.sum("total_fare").alias("revenue")
+    )
+    return by_airline.withColumns({"airline_spares_files": F.lit(spared[0]), "day_spares_files": F.lit(spared[1])})
+
+
 @query
 def incremental_upsert(t: Tables) -> DataFrame:
     target = save(t.first_load, "staging")

@@ -14,6 +14,7 @@ from tarifa.operators.sampling import mark_test_rows, sample_rows
 from tarifa.operators.upsert import KEY, load_batch, read_staging
 from tarifa.session import path_exists, save
 from tarifa.sources import generator, seeds
+from tarifa.sources.interleaved import write_interleaved
 from tarifa.sources.tables import append_bronze, read_bronze, write_clustered, write_table
 
 
@@ -50,7 +51,7 @@ def refresh(spark: SparkSession, root: str, run_id: str | None = None) -> str:
     calendar = store(dimensions.calendar(spark), "calendar")
     airlines = store(dimensions.airlines(staging), "airlines")
     routes = store(dimensions.routes(staging), "routes")
-    fact = write_clustered(
+    fact = write_interleaved(
         facts.flight_prices(staging),
         f"{build}/flight_prices",
         ["date_key", "airline_key"],
