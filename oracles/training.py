@@ -69,6 +69,38 @@ oracle(
   CASE WHEN search_date >= DATE '{FIRST_LOAD_END}' THEN primary_cabin END AS primary_cabin FROM staging""",
     "staging",
 )
+DAMAGED = """SELECT CASE WHEN right(LEGID, 1) NOT IN ('1') THEN SEARCHDATE END AS search_date,
+  CASE WHEN right(LEGID, 1) NOT IN ('6') THEN FLIGHTDATE END AS flight_date,
+  CASE WHEN right(LEGID, 1) NOT IN ('2') THEN TOTALFARE END AS total_fare,
+  CASE WHEN right(LEGID, 1) NOT IN ('4') THEN SEATSREMAINING END AS seats, right(LEGID, 1) AS digit, TRAVELDURATION AS duration FROM raw"""
+oracle(
+    "reject_summary",
+    f"""SELECT kind, name, found_rows FROM (
+  WITH d AS (SELECT *, datediff('day', search_date, flight_date) AS days FROM ({DAMAGED})),
+  r AS (SELECT *, coalesce(days NOT BETWEEN 0 AND 365, FALSE) AS range_bad, coalesce(total_fare <= 0, TRUE) AS fare_bad,
+    coalesce(seats < 0, TRUE) AS seats_bad FROM d),
+  c AS (SELECT count(*) AS n, count(*) FILTER (search_date IS NULL OR flight_date IS NULL OR range_bad OR fare_bad OR seats_bad) AS bad,
+    count(*) FILTER (search_date IS NULL) AS no_search, count(*) FILTER (flight_date IS NULL) AS no_flight,
+    count(*) FILTER (range_bad) AS range_n, count(*) FILTER (fare_bad) AS fare_n, count(*) FILTER (seats_bad) AS seats_n,
+    count(*) FILTER (digit = '1') AS u0, count(*) FILTER (digit = '2') AS u1,
+    count(*) FILTER (digit = '3' OR (trim(duration) <> '' AND NOT regexp_matches(duration, '^PT[0-9]+H[0-9]+M$'))) AS u2,
+    count(*) FILTER (digit = '4') AS u3, count(*) FILTER (digit = '6') AS u5 FROM r)
+  SELECT unnest([
+    {{'kind': 'rows', 'name': 'input', 'found_rows': n}}, {{'kind': 'rows', 'name': 'kept', 'found_rows': n - bad}},
+    {{'kind': 'rows', 'name': 'rejected', 'found_rows': bad}}, {{'kind': 'reason', 'name': 'no leg_id', 'found_rows': 0}},
+    {{'kind': 'reason', 'name': 'no search_date', 'found_rows': no_search}},
+    {{'kind': 'reason', 'name': 'no flight_date', 'found_rows': no_flight}},
+    {{'kind': 'reason', 'name': 'days_until_flight out of range', 'found_rows': range_n}},
+    {{'kind': 'reason', 'name': 'no positive total_fare', 'found_rows': fare_n}},
+    {{'kind': 'reason', 'name': 'no seats_remaining', 'found_rows': seats_n}},
+    {{'kind': 'unparsed', 'name': 'SEARCHDATE', 'found_rows': u0}}, {{'kind': 'unparsed', 'name': 'FLIGHTDATE', 'found_rows': u5}},
+    {{'kind': 'unparsed', 'name': 'BASEFARE', 'found_rows': 0}}, {{'kind': 'unparsed', 'name': 'TOTALFARE', 'found_rows': u1}},
+    {{'kind': 'unparsed', 'name': 'SEATSREMAINING', 'found_rows': u3}},
+    {{'kind': 'unparsed', 'name': 'TOTALTRAVELDISTANCE', 'found_rows': 0}},
+    {{'kind': 'unparsed', 'name': 'ELAPSEDDAYS', 'found_rows': 0}}, {{'kind': 'unparsed', 'name': 'TRAVELDURATION', 'found_rows': u2}}
+  ], recursive := true) FROM c)""",
+    "raw",
+)
 oracle("staging_parse", "SELECT * FROM parsed", "parsed")
 oracle(
     "parse_duration",

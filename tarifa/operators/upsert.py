@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarifa import schemas
-from tarifa.operators import key_filter
+from tarifa.operators import key_filter, rejects
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
 from tarifa.session import path_exists, remove_path
 from tarifa.sources.tables import RAW_MONTH
@@ -149,7 +149,7 @@ def _fingerprint(bronze: DataFrame, mark: dt.date | None) -> tuple[int, Decimal]
     return tuple(rows.agg(F.count(F.lit(1)), F.coalesce(hashed, F.lit(0).cast("decimal(38,0)"))).first())
 
 
-def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str) -> None:
+def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str, rejects_path: str | None = None) -> None:
     """Load raw rows into the staging table at ``path``, which is stored by search month.
 
     Rows before the high-water mark are ignored, the rest are staged, reduced to one row per key and upserted. Only months that
@@ -159,6 +159,9 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str)
     by the next one, under whatever id. A finished ``load_id`` is not loaded again: with the input it had, nothing happens, with
     other input it is an error. The stored columns follow those of the batch: new ones are empty in old rows, lost ones are
     dropped. Content stored for a load is removed once it is published. Run one load per table at a time.
+
+    With ``rejects_path`` the rows that are not loaded, or lose a value, are stored there under ``rows``, and their counts under
+    ``summary``; both are complete before the load is noted.
     """
     schema = staging_schema(stage_flights(bronze.drop(RAW_MONTH)))
     ledger = Ledger(spark, path)
@@ -176,6 +179,10 @@ def load_batch(spark: SparkSession, path: str, bronze: DataFrame, load_id: str)
     rows, hashed = _fingerprint(bronze, mark)
     stored = f"{path.rstrip('/')}_batches/{uuid.uuid4().hex}"
     _store_merged(current, since_mark(bronze, mark), stored, path)
+    if rejects_path:
+        audited = rejects.audit(since_mark(bronze, mark))
+        rejects.rejects(audited).write.mode("overwrite").parquet(f"{rejects_path}/rows")
+        rejects.summary(audited).coalesce(1).write.mode("overwrite").parquet(f"{rejects_path}/summary")
     entry = {"sequence": len(ledger.rows), "load_id": load_id, "mark": mark, "input_rows": rows, "input_hash": hashed, "stored": stored}
     ledger.add(state="merged", **entry)
     _finish(ledger, ledger.pending(), path, schema)

@@ -23,6 +23,7 @@ from tarifa.operators import (
     metrics,
     pricing,
     quality,
+    rejects,
     sampling,
     staging,
     stopping,
@@ -217,6 +218,21 @@ def parse_duration(t: Tables) -> DataFrame:
     )
 
 
+def damaged(raw: DataFrame) -> DataFrame:
+    """The raw rows as text, some of it damaged, by the last digit of the id."""
+    digit = F.right("LEGID", F.lit(1))
+    spoilt = {"1": ("SEARCHDATE", "31/12/2024"), "2": ("TOTALFARE", "12,50"), "3": ("TRAVELDURATION", "5h30"),
+              "4": ("SEATSREMAINING", "many"), "5": ("BASEFARE", " "), "6": ("FLIGHTDATE", "soon")}
+    texts = raw.withColumns({name: F.col(name).cast("string") for name in rejects.PARSED})
+    return texts.withColumns({name: F.when(digit == at, text).otherwise(F.col(name)) for at, (name, text) in spoilt.items()})
+
+
+@query
+def reject_summary(t: Tables) -> DataFrame:
+    """Damaged raw rows: rows kept and rejected, by reason, and values that did not parse."""
+    return rejects.summary(rejects.audit(damaged(t.raw)))
+
+
 @query
 def staging_derive(t: Tables) -> DataFrame:
     return staging.derive_flights(staging.parse_flights(t.raw)).select(

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.operators import dimensions, facts, quality, stopping, training
+from tarifa.operators import dimensions, facts, quality, rejects, stopping, training
 from tarifa.operators.pricing import price_batch, with_defaults
 from tarifa.operators.sampling import mark_test_rows, sample_rows
 from tarifa.operators.upsert import KEY, load_batch, read_staging
@@ -30,17 +30,20 @@ def ingest(
     return append_bronze(batch, f"{root}/raw")
 
 
-def refresh(spark: SparkSession, root: str, run_id: str | None = None) -> str:
+def refresh(spark: SparkSession, root: str, run_id: str | None = None, most_rejected: float = 1.0) -> str:
     """Load new raw rows, rebuild the gold tables, and publish them if all checks pass.
 
     Gold tables go to a folder of their own per run, so readers keep the last published run until the
-    checks have passed, and a failed run can be repeated under its id. A published id is refused.
+    checks have passed, and a failed run can be repeated under its id. A published id is refused. Raw rows that are not loaded, or
+    lose a value, are kept under ``rejects``; a run that rejects more than the share ``most_rejected`` of its rows is not published.
     """
     run_id = run_id or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     if path_exists(spark, f"{root}/published"):
         if not spark.read.parquet(f"{root}/published").where(F.col("run_id") == run_id).isEmpty():
             raise ValueError(f"run {run_id!r} is published; use a new id")
-    load_batch(spark, f"{root}/staging", read_bronze(spark, f"{root}/raw"), run_id)
+    rejected = f"{root}/rejects/{run_id}"
+    load_batch(spark, f"{root}/staging", read_bronze(spark, f"{root}/raw"), run_id, rejected)
+    rejects.enforce(spark.read.parquet(f"{rejected}/summary"), most_rejected)
     staging = read_staging(spark, f"{root}/staging")
     build = f"{root}/gold/{run_id}"
 
