@@ -312,6 +312,12 @@ TABLES["upserted"] = (
     ["loaded", "batch"],
     "SELECT * FROM loaded WHERE leg_id NOT IN (SELECT leg_id FROM batch) UNION ALL BY NAME SELECT * FROM batch",
 )
+# The dimensions over the table after both loads: the same expressions over another source.
+for _name, _source, _target in (
+    ("routes", "staging", "upserted"), ("segments", "staging", "upserted"), ("name_counts", "segments", "later_segments"),
+    ("airlines", "name_counts", "later_name_counts"),
+):
+    TABLES[f"later_{_name}"] = ([_target], TABLES[_name][1].replace(f"FROM {_source}", f"FROM {_target}"))
 
 
 def query(final: str, *needed: str) -> str:

@@ -55,6 +55,13 @@ FROM loaded GROUP BY 1""",
     "loaded",
     "staging",
 )
+oracle(
+    "dims_incremental",
+    """SELECT 'route' AS kind, route_key AS key, CAST(distance_miles AS VARCHAR) AS value FROM later_routes
+UNION ALL SELECT 'airline', airline_code, airline_name FROM later_airlines""",
+    "later_routes",
+    "later_airlines",
+)
 oracle("stream_upsert", "SELECT * FROM upserted", "upserted")
 oracle(
     "stream_deduplicated",

@@ -65,13 +65,15 @@ def routes(staging: DataFrame) -> DataFrame:
     )
 
 
-def flatten_airlines(staging: DataFrame) -> DataFrame:
-    """One row per itinerary segment: the airline code and the name at the same position, if any."""
+def flatten_airlines(staging: DataFrame, *kept: str) -> DataFrame:
+    """One row per itinerary segment: the airline code and the name at the same position, if any, after the columns in ``kept``."""
     segments = staging.select(
+        *kept,
         F.posexplode(split_list(F.col("segments_airline_codes"))).alias("position", "code"),
         split_list(F.col("segments_airline_names")).alias("names"),
     )
     return segments.select(
+        *kept,
         "position",
         F.trim("code").alias("airline_code"),
         F.trim(F.get("names", F.col("position"))).alias("airline_name"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarifa import schemas
-from tarifa.operators import key_filter, rejects
+from tarifa.operators import key_filter, partials, rejects
 from tarifa.operators.staging import derive_flights, is_valid_flight, parse_flights, stage_flights
 from tarifa.session import path_exists, remove_path
 from tarifa.sources.tables import RAW_MONTH
@@ -201,6 +201,18 @@ def filters_path(path: str) -> str:
     return f"{path.rstrip('/')}_keys"
 
 
+def counts_path(path: str) -> str:
+    """Where the counts per month of the table at ``path`` are stored."""
+    return f"{path.rstrip('/')}_counts"
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all months of the staging table at ``path``, see ``partials``."""
+    schema = staging_schema(stage_flights(spark.createDataFrame([], schemas.BRONZE)))
+    table = spark.read.schema(schema).parquet(path)
+    return partials.counts_of(table, partials.read_counts(spark, counts_path(path), MONTH), MONTH)
+
+
 def rows_of_known_keys(current: DataFrame, fresh: DataFrame, filters: DataFrame) -> DataFrame:
     """Key and month of the rows in ``current`` that ``fresh`` replaces; months that its filters rule out are not read."""
     months = key_filter.months_to_scan(current, filters, fresh, KEY, MONTH)
@@ -226,6 +238,7 @@ def _publish(merged: DataFrame, path: str, touched: list[str]) -> None:
     if kept:
         write_months(merged, path)
     key_filter.write_filters(merged, filters_path(path), KEY, MONTH, gone)
+    partials.write_counts(merged, counts_path(path), MONTH, gone)
     # Months left without rows: their folders go, without a job for each.
     for month in gone:
         remove_path(merged.sparkSession, f"{path}/{MONTH}={month}")

@@ -8,10 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.operators import dimensions, facts, quality, rejects, stopping, training
+from tarifa.operators import dimensions, facts, partials, quality, rejects, stopping, training
 from tarifa.operators.pricing import price_batch, with_defaults
 from tarifa.operators.sampling import mark_test_rows, sample_rows
-from tarifa.operators.upsert import KEY, load_batch, read_staging
+from tarifa.operators.upsert import KEY, load_batch, read_counts, read_staging
 from tarifa.session import path_exists, save
 from tarifa.sources import generator, seeds
 from tarifa.sources.interleaved import write_interleaved
@@ -52,8 +52,9 @@ def refresh(spark: SparkSession, root: str, run_id: str | None = None, most_reje
 
     airports = store(seeds.airports(spark), "airports")
     calendar = store(dimensions.calendar(spark), "calendar")
-    airlines = store(dimensions.airlines(staging), "airlines")
-    routes = store(dimensions.routes(staging), "routes")
+    counts = read_counts(spark, f"{root}/staging")
+    airlines = store(partials.airlines(counts), "airlines")
+    routes = store(partials.routes(counts), "routes")
     fact = write_interleaved(
         facts.flight_prices(staging),
         f"{build}/flight_prices",
