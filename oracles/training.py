@@ -187,6 +187,15 @@ oracle(
     ),
     "outliers",
 )
+oracle(
+    "month_quantiles",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, q1, q3, round(q1 - 2.5 * (q3 - q1), 6) AS lower_bound,
+  round(q3 + 2.5 * (q3 - q1), 6) AS upper_bound, TRUE AS grid_is_close FROM (SELECT {quartiles(c)} FROM loaded)"""
+        for c in ("total_fare", "travel_duration_minutes")
+    ),
+    "loaded",
+)
 oracle(
     "cleaning_audit",
     """SELECT '0 loaded' AS step, count(*) AS rows_left FROM fared

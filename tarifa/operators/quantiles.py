@@ -20,21 +20,26 @@ def quantiles(
     sorted, each in a task of its own; there are as many ranges as shuffle partitions. The driver
     sees one total per range and one value per rank. ``interpolation`` is ``linear`` or ``nearest``.
     """
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranged = save(counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "value_counts")
-    sizes = dict(ranged.groupBy("range").agg(F.sum("n")).collect())
+    ranged, sizes = _ranges(df, column)
     rows = sum(sizes.values())
     if not rows:
         return [None for _ in shares]
+    positions = positions_of(shares, rows, interpolation)
+    return interpolated(positions, _values_at(ranged, sizes, ranks_of(positions)))
+
+
+def positions_of(shares: list[float], rows: int, interpolation: str = "linear") -> list[float]:
+    """The 0-based places of quantiles among ``rows`` sorted values."""
     positions = [share * (rows - 1) for share in shares]
-    if interpolation == "nearest":
-        positions = [float(math.floor(position + 0.5)) for position in positions]
-    wanted = sorted({f(position) for position in positions for f in (math.floor, math.ceil)})
-    value_at = _values_at(ranged, sizes, wanted)
+    return [float(math.floor(p + 0.5)) for p in positions] if interpolation == "nearest" else positions
+
+
+def ranks_of(positions: list[float]) -> list[int]:
+    """The whole places on both sides of each position."""
+    return sorted({f(position) for position in positions for f in (math.floor, math.ceil)})
+
+
+def interpolated(positions: list[float], value_at: dict[int, float]) -> list[float]:
     results = []
     for position in positions:
         low, high = value_at[math.floor(position)], value_at[math.ceil(position)]
@@ -42,6 +47,22 @@ def quantiles(
     return results
 
 
+def values_at(df: DataFrame, column: str, ranks: list[int]) -> dict[int, float]:
+    """The values at 0-based ranks of the sorted rows that have one, exactly."""
+    return _values_at(*_ranges(df, column), ranks)
+
+
+def _ranges(df: DataFrame, column: str) -> tuple[DataFrame, dict[int, int]]:
+    """Stored counts of distinct values with the number of their range, and the rows of each range."""
+    counts = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("double").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranged = save(counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "value_counts")
+    return ranged, dict(ranged.groupBy("range").agg(F.sum("n")).collect())
+
+
 def _values_at(ranged: DataFrame, sizes: dict[int, int], ranks: list[int]) -> dict[int, float]:
     """The values at 0-based ranks of the sorted rows."""
     starts, start = {}, 0

@@ -21,6 +21,7 @@ from tarifa.operators import (
     key_filter,
     leafwise,
     metrics,
+    month_grids,
     partials,
     pricing,
     quality,
@@ -391,6 +392,25 @@ def iqr_bounds(t: Tables) -> DataFrame:
     )
 
 
+@query
+def month_quantiles(t: Tables) -> DataFrame:
+    """The fences over a table stored by month: from counts per month, and the rows of the quartiles' cells alone."""
+    path, month = new_path(t.spark, "staging"), upsert.MONTH
+    loaded = t.first_load.withColumn(month, upsert.search_month())
+    upsert.write_months(loaded, path)
+    table, names = t.spark.read.schema(loaded.schema).parquet(path), ["total_fare", "travel_duration_minutes"]
+    grid = save(month_grids.month_counts(table, names, month), "grid")
+    found = []
+    for name in names:
+        q1, q3 = month_grids.exact(table, grid, name, [0.25, 0.75], month)
+        near = month_grids.approximate(grid, name, [0.25, 0.75])
+        close = all(abs(a - b) <= 0.011 * b + 1 for a, b in zip(near, (q1, q3)))
+        found.append((name, q1, q3, round(q1 - 2.5 * (q3 - q1), 6), round(q3 + 2.5 * (q3 - q1), 6), close))
+    return t.spark.createDataFrame(
+        found, "column_name string, q1 double, q3 double, lower_bound double, upper_bound double, grid_is_close boolean"
+    )
+
+
 @query
 def cleaning_audit(t: Tables) -> DataFrame:
     return cleaning.cleaning_audit(save(t.fared, "fared"))
