@@ -16,7 +16,9 @@ from tarifa.plans.tables import Tables  # noqa: E402
 from tarifa.session import build_session, save  # noqa: E402
 
 HEADLINE = [
+    "csv_to_parquet",
     "staging_filter",
+    "reject_summary",
     "fact_flight_prices",
     "dim_routes",
     "dim_airlines",
@@ -24,8 +26,10 @@ HEADLINE = [
     "fare_features_train",
     "iqr_trim",
     "label_encode",
+    "ordered_target_means",
     "incremental_upsert",
     "clustered_write",
+    "interleaved_write",
     "dq_report",
     "price_requests",
     "price_batch",
