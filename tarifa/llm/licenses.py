@@ -1,8 +1,9 @@
 """License scans: an inverted index of winnowed fingerprints proposes templates, banded alignment confirms them.
 
 The templates are a fixed list, so their index is small and travels with the task. Documents are winnowed like the templates;
-fingerprints that both have give pairs of positions, pairs in order of both are chained across inserted and removed words, and the words
-between two pairs of a chain, and beside its ends, are aligned.
+fingerprints that both have give pairs of positions, and pairs in order of both are chained across inserted and removed words: first
+between neighbours, then over any distance, at a cost that grows with it. The words between two pairs of a chain, and beside its ends,
+are aligned in a band along the pairs.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ GRAM_WORDS = 2
 WINDOW = 2
 # Words that the alignment goes beyond a chain's ends at most, besides those that the template still has.
 BAND = 6
-# Words of a document from one hit of a chain to the next, at most; for a template of fewer words its own, but no less than SHORT_GAP.
+# Words of a document between neighbours, at most; for a template of fewer words its own, but no less than SHORT_GAP.
 GAP = 64
 SHORT_GAP = 24
+# Hits that a wider step costs besides the logarithm of its width in gaps, so that a part of fewer hits is not worth the step.
+STEP_COST = 3
 MIN_COVERAGE = 0.7
 # Shared fingerprints that make a candidate, as a share of the template's words; one at least.
 MIN_HITS = 0.1
@@ -41,16 +44,15 @@ def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
 
 
 class Index:
-    """Template words, and the template positions of every fingerprint."""
+    """Template words, and the template positions of every winnowed fingerprint."""
 
     def __init__(self, templates: dict[str, str]):
         self.words = {name: item_words(text.encode()) for name, text in templates.items()}
         self.places: dict[int, list[tuple[str, int]]] = defaultdict(list)
         for name, words in self.words.items():
             grams = gram_hashes(word_hashes(words), GRAM_WORDS)
-            # Every position of a template, so that each winnowed position of a document that shares the gram is a hit.
-            for at, value in enumerate(grams.tolist()):
-                self.places[value].append((name, at))
+            for at in winnowed(grams, WINDOW).tolist():
+                self.places[int(grams[at])].append((name, at))
         self.known = np.array(sorted(self.places), np.uint64)
 
     def chains(self, words: list[bytes]) -> list[tuple[str, np.ndarray]]:
@@ -66,17 +68,48 @@ class Index:
         for name, values in hits.items():
             least = max(1, int(MIN_HITS * len(self.words[name])))
             gap = min(GAP, max(SHORT_GAP, len(self.words[name])))
-            all_hits = np.array(values, np.int64)
+            all_hits, parts, few = np.array(values, np.int64), [], min(least, STEP_COST + 1)
             for group in np.split(all_hits, np.flatnonzero(np.diff(all_hits[:, 0]) > gap) + 1):
-                while len(np.unique(group[:, 1])) >= least:
-                    own = chained(group, least, gap)
+                while len(np.unique(group[:, 1])) >= few:
+                    own = chained(group, few, gap)
                     if not own:
                         break
-                    found += [(name, group[chain]) for chain in own]
+                    parts += [group[chain] for chain in own]
                     group = np.delete(group, np.concatenate(own), axis=0)
+            found += [(name, chain) for chain in joined(parts, gap) if len(chain) >= least]
         return found
 
 
+def joined(parts: list[np.ndarray], gap: int) -> list[np.ndarray]:
+    """Chains of ``parts`` that ascend in document and template, over any distance; every part is in one of them.
+
+    A chain counts its hits, less the costs of its steps, so the nearest of equal continuations is taken.
+    """
+    if len(parts) < 2:
+        return parts
+    parts = sorted(parts, key=lambda p: tuple(p[0]))
+    begin, end, size = np.array([p[0] for p in parts]), np.array([p[-1] for p in parts]), np.array([len(p) for p in parts])
+    score, before = size.astype(np.float64), np.full(len(parts), -1)
+    for k in range(1, len(parts)):
+        width = begin[k, 0] - end[:k, 0]
+        fits = (width > 0) & (begin[k, 1] > end[:k, 1])
+        gain = np.where(fits, score[:k] - STEP_COST - np.log2(1 + np.maximum(width, 0) / gap), 0)
+        best = k - 1 - int(gain[::-1].argmax())
+        # A step that costs more than it brings to either side is not taken.
+        if gain[best] > 0 and score[k] > STEP_COST + np.log2(1 + width[best] / gap):
+            score[k], before[k] = score[k] + gain[best], best
+    used, found = np.zeros(len(parts), bool), []
+    for k in np.argsort(-score, kind="stable").tolist():
+        chain = []
+        while k >= 0 and not used[k]:
+            used[k] = True
+            chain.append(parts[k])
+            k = int(before[k])
+        if chain:
+            found.append(np.concatenate(chain[::-1]))
+    return found
+
+
 def chained(hits: np.ndarray, least: int, gap: int = GAP) -> list[np.ndarray]:
     """Rows of ``hits`` (document and template position, by the former) that form chains of ``least`` hits or more, none in two.
 
@@ -135,7 +168,7 @@ def filled(template: list[bytes], words: list[bytes], chain: np.ndarray) -> list
             pairs = [(i, start + j) for i, j in matches(template[:place], words[start:at])]
             done, upto = place, at
         elif place > done and at > upto:
-            pairs += [(done + i, upto + j) for i, j in matches(template[done:place], words[upto:at])]
+            pairs += [(done + i, upto + j) for i, j in between(template[done:place], words[upto:at])]
             done, upto = place, at
         # Words of a gram that an earlier one has used are not paired again.
         for step in range(GRAM_WORDS):
@@ -147,31 +180,13 @@ def filled(template: list[bytes], words: list[bytes], chain: np.ndarray) -> list
     return pairs
 
 
-def align(template: list[bytes], words: list[bytes], low: int, high: int) -> list[tuple[int, int]]:
-    """Longest common subsequence inside the band: pairs of template and document positions, in order.
-
-    Only pairs whose diagonal (document minus template position) lies between ``low`` and ``high`` take part.
-    """
-    width = high - low + 3
-    score = np.zeros((len(template) + 1, width), np.int32)
-    for i in range(len(template)):
-        for d in range(1, width - 1):
-            j = i + low + d - 1
-            best = max(score[i, d + 1], score[i + 1, d - 1])
-            if 0 <= j < len(words) and words[j] == template[i]:
-                best = max(best, score[i, d] + 1)
-            score[i + 1, d] = best
-    pairs, i, d = [], len(template), int(score[len(template)].argmax())
-    while i > 0 and score[i, d] > 0:
-        j = i - 1 + low + d - 1
-        if d + 1 < width and score[i, d] == score[i - 1, d + 1]:
-            i, d = i - 1, d + 1
-        elif d > 0 and score[i, d] == score[i, d - 1]:
-            d -= 1
-        else:
-            pairs.append((i - 1, j))
-            i -= 1
-    return pairs[::-1]
+def between(template: list[bytes], words: list[bytes]) -> list[tuple[int, int]]:
+    """Alignment of the words between two hits. Of a wide run of words only a band along either hit takes part."""
+    band = len(template) + BAND
+    if len(words) <= 2 * band:
+        return matches(template, words)
+    skipped = len(words) - 2 * band
+    return [(i, j if j < band else j + skipped) for i, j in matches(template, words[:band] + words[-band:])]
 
 
 def scan_text(text: bytes, index: Index, min_coverage: float) -> list[tuple[str, int, int, int, float]]:
@@ -197,7 +212,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_coverage: f
     Columns: ``doc_id``, ``license``, ``first_word`` and ``end_word`` (the span, as word offsets of the document), ``n_matched``
     (template words aligned) and ``coverage`` (their share of the template). Words are runs of ASCII letters and digits and of
     characters outside ASCII, with A-Z lower-cased. Several findings of one template in a text are reported if their spans do not
-    overlap; of overlapping ones the one with most words, then the shortest, then the first. Null and empty texts give no row; null
+    overlap; of overlapping ones the one with most words, then the shortest, then the first. Words inserted into a license may be any
+    number, if the parts beside them share more than ``STEP_COST`` fingerprints. An empty table gives an empty result. Null and empty texts give no row; null
     and repeated ids and repeated rows are scanned like any other; other columns are not read.
     """
     made: list[Index] = []
