@@ -20,6 +20,8 @@ from tarifa.llm.text import map_texts, texts, with_columns
 PASSAGE_WORDS = 100
 # Labelled documents that training takes at most, chosen by a hash of their id.
 TRAINING_DOCUMENTS = 3000
+# Rows of features that a training document gives at most; neighbouring passages of a longer one are averaged.
+TRAINING_PASSAGES = 64
 THRESHOLD = 0.7
 HIDDEN = 16
 GATES = 8
@@ -102,10 +104,16 @@ def _shares(texts_: list[bytes], words: list[list[bytes]], size: int) -> np.ndar
     lengths = np.flatnonzero(~blank[:-1] & blank[1:]) - starts
     first = np.concatenate([np.arange(0, len(w), size) + before for w, before in zip(words, np.cumsum([0, *map(len, words[:-1])]))])
     first = first.astype(np.int64)
-    edges = np.append(starts[first], len(data))
-    owner = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(edges))
-    at = owner * np.int64(256) + data[edges[0] :]
-    return _described(np.bincount(at, minlength=256 * len(first)).reshape(-1, 256), lengths, first)
+    own = np.repeat(np.arange(len(texts_)), [-(-len(w) // size) for w in words])
+    ends_of_texts = np.cumsum([len(t) + 1 for t in texts_]) - 1
+    begins = starts[first]
+    # A passage ends where the next one of its text begins, the last one with its text, whatever comes after that.
+    ends = np.where(np.diff(own, append=-1) == 0, np.append(begins[1:], 0), ends_of_texts[own])
+    gaps = np.append(begins[1:], len(data)) - ends
+    place = np.stack([np.arange(len(first), dtype=np.int32), np.full(len(first), len(first), np.int32)], axis=1)
+    owner = np.repeat(place.ravel(), np.stack([ends - begins, gaps], axis=1).ravel())
+    at = owner * np.int64(256) + data[begins[0] :]
+    return _described(np.bincount(at, minlength=256 * (len(first) + 1)).reshape(-1, 256)[:-1], lengths, first)
 
 
 def _described(tally: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -208,11 +216,20 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> M
     return model
 
 
+def pooled(bag: np.ndarray, most: int = TRAINING_PASSAGES) -> np.ndarray:
+    """A bag of at most ``most`` rows: the means of runs of neighbouring passages, of equal length but for one passage."""
+    if len(bag) <= most:
+        return bag
+    starts = np.arange(most) * len(bag) // most
+    return np.add.reduceat(bag, starts, axis=0) / np.diff(starts, append=len(bag))[:, None]
+
+
 def fit(docs: DataFrame, labels: DataFrame, use: Column, limit: int = TRAINING_DOCUMENTS) -> Model:
     """Train on at most ``limit`` labelled documents for which ``use`` (over ``doc_id``) holds.
 
     Labels of one id are averaged and rounded; null labels are left out. The sample is a hash order of ids, so it is the same in each
-    run. Its passages come to the driver as features, never the texts.
+    run. Of several rows of one id one is taken, the first by its features. What comes to the driver is bounded by ``limit`` and
+    ``TRAINING_PASSAGES``: rows of features, never texts.
     """
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
     known = known.agg((F.avg("quality") >= 0.5).cast("int").alias("label")).filter(use)
@@ -221,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, limit: int = TRAINING_D
     schema = "doc_id long, label int, sizes int, features binary"
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = bags(texts(batch))
+        found = [pooled(bag) for bag in bags(texts(batch))]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
@@ -232,7 +249,9 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, limit: int = TRAINING_D
             ["doc_id", "label", "sizes", "features"],
         )
 
-    sample = map_texts(source.join(chosen, "doc_id"), encode, schema).toPandas()
+    encoded = map_texts(source.join(chosen, "doc_id"), encode, schema)
+    first = encoded.groupBy("doc_id").agg(F.min(F.struct("sizes", "features", "label")).alias("first"))
+    sample = first.select("doc_id", "first.*").toPandas()
     sample = sample.sort_values(["doc_id", "features"])
     rows = [np.frombuffer(f, np.float32).reshape(-1, FEATURES).astype(np.float64) for f in sample["features"]]
     return train(rows, sample["label"].to_numpy(np.float64))
@@ -241,8 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, limit: int = TRAINING_D
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (probability of good), ``predicted`` (1 from ``threshold`` on) and ``attention`` per passage.
 
-    Only the text is used. Null, empty and blank texts are one empty passage and get a score too. Every row is scored alone, so null
-    and repeated ids need no care. Input columns with the names of the new ones are replaced. An empty table gives an empty result.
+    Only the text is used. Null, empty and blank texts are one empty passage and get a score too. Every row is scored alone: its
+    neighbours in a batch change nothing but the last digits, and null and repeated ids need no care. Input columns with the names of the new ones are replaced. An empty table gives an empty result.
     """
     source = docs.withColumn("text", F.col("text").cast("string"))
     schema = with_columns(source, score=DoubleType(), predicted=IntegerType(), attention=ArrayType(FloatType()))

@@ -282,7 +282,7 @@ def test_alignment_is_a_longest_subsequence():
         for i in range(len(a)):
             for j in range(len(b)):
                 best[i + 1, j + 1] = best[i, j] + 1 if a[i] == b[j] else max(best[i, j + 1], best[i + 1, j])
-        pairs = licenses.align(a, b, -12, 12)
+        pairs = licenses.matches(a, b)
         assert len(pairs) == best[-1, -1] and all(a[i] == b[j] for i, j in pairs)
         assert pairs == sorted(set(pairs)) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
 
@@ -404,5 +404,34 @@ def test_passages_of_a_long_text(monkeypatch):
     monkeypatch.setattr(quality, "LONG_TEXT", 20_000)
     cut = quality.bags([text, b"", b" ", b"one"])
     assert [len(b) for b in plain] == [len(b) for b in cut] == [210, 1, 1, 1]
-    assert all(np.allclose(a, b, atol=0.02) for a, b in zip(plain, cut))
+    assert all(np.allclose(a, b, rtol=0, atol=1e-12) for a, b in zip(plain, cut))
+
+
+def test_passages_are_their_text_alone():
+    """Neighbours, their order and the white space between them change no feature of a text."""
+    own = [(t or "").encode() for _, t in TEXTS] + [b"\n \n lead and trail \n\n", b"a " * 250 + b"\t\t"]
+    alone = [quality.bags([t])[0] for t in own]
+    blanks = [x for t in own for x in (t, b"\n" * 3000, b" \t" * 50)]
+    for batch, step in ((own, 1), (own[::-1], 1), (blanks, 3)):
+        found = quality.bags(batch)[::step]
+        wanted = alone[::-1] if batch == own[::-1] else alone
+        assert all(len(a) == len(b) and np.allclose(a, b, rtol=0, atol=1e-12) for a, b in zip(found, wanted))
+
+
+def test_scores_are_functions_of_the_text(spark):
+    labels = spark.createDataFrame([(0, 1), (9, 0), (11, 1), (15, 0)], "doc_id long, quality int")
+    model = quality.fit(frame(spark), labels, F.lit(True))
+    scores = lambda texts: {r["doc_id"]: r["score"] for r in quality.score(frame(spark, texts), model).collect() if r["doc_id"] is not None}
+    wanted = scores(TEXTS)
+    followed = [x for t in TEXTS for x in (t, (10_000 + len(t[1] or ""), "\n" * 3000))]
+    for texts in (TEXTS[::-1], followed):
+        found = scores(texts)
+        assert all(abs(found[i] - s) < 1e-12 for i, s in wanted.items())
+
+
+def test_training_rows_are_bounded():
+    bag = np.random.default_rng(3).random((1001, quality.FEATURES))
+    small = quality.pooled(bag, 10)
+    assert small.shape == (10, quality.FEATURES) and np.allclose(small[0], bag[:100].mean(axis=0))
+    assert quality.pooled(bag[:9], 10) is not None and np.array_equal(quality.pooled(bag[:9], 10), bag[:9])
 
