@@ -84,13 +84,12 @@ def varied(rng):
     return texts
 
 
-@pytest.mark.parametrize("bucket", [copies.BUCKET, 3])
-def test_one_of_each_group(spark, folder, bucket):
+def test_one_of_each_group(spark, folder):
     """Against all pairs: none of those that are similar enough is lost, and short texts that share a line stay apart."""
     shared = [(9000 + i, f"the same opening line for all of them\nthen {i}") for i in range(5)]
     for texts in (varied(random.Random(8)) + shared, TEXTS, whole(spark, folder)):
         wanted, _ = groups_expected(texts)
-        kept = copies.keep_one(frame(spark, texts), bucket=bucket)
+        kept = copies.keep_one(frame(spark, texts))
         assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == wanted
     assert copies.keep_one(empty(spark)).count() == 0
 

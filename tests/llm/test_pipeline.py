@@ -1,7 +1,8 @@
 """The pipeline, stage by stage against brute force, and the contract of its module."""
 
 from cases import TEXTS, empty, frame
-from test_documents import components_expected, contamination_expected, fingerprint, lines_expected, ordered, packed_ids
+from test_copies import first_kept, groups_expected
+from test_documents import contamination_expected, ordered, packed_ids
 
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
@@ -21,17 +22,13 @@ def check_stages(spark, docs, folder):
 
     shorter = stages["lines"](spark, known, folder)
     assert shorter.columns == docs.columns
-    assert ordered(pairs(shorter)) == ordered((i, t) for i, _, _, t in lines_expected(kept, 10, 1))
+    assert ordered(pairs(shorter)) == first_kept(kept, 10)
     assert all(r["n_chars"] == len(r["text"]) for r in shorter.collect())
 
     single = stages["near_copies"](spark, shorter, folder)
-    before = pairs(shorter)
-    roots = components_expected([fingerprint(t) for _, t in before], 2)
-    first = {}
-    for (i, _), root in zip(before, roots):
-        first[root] = min(first.get(root, (True, 0)), (i is None, i or 0))
+    wanted, _ = groups_expected(pairs(shorter))
     assert single.columns == docs.columns
-    assert sorted((i is None, i or 0) for i, _ in pairs(single)) == sorted(first.values())
+    assert sorted((i is None, i or 0) for i, _ in pairs(single)) == wanted
 
     clean = stages["benchmark"](spark, single, folder)
     wanted = [i for i, _, hit, _ in contamination_expected(pairs(single), bench, 10) if not hit]
