@@ -190,7 +190,7 @@ oracle(
 oracle(
     "month_quantiles",
     "\nUNION ALL\n".join(
-        f"""SELECT '{c}' AS column_name, q1, q3, round(q1 - 2.5 * (q3 - q1), 6) AS lower_bound,
+        f"""SELECT '{c}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 2.5 * (q3 - q1), 6) AS lower_bound,
   round(q3 + 2.5 * (q3 - q1), 6) AS upper_bound, TRUE AS grid_is_close FROM (SELECT {quartiles(c)} FROM loaded)"""
         for c in ("total_fare", "travel_duration_minutes")
     ),

@@ -405,7 +405,8 @@ def month_quantiles(t: Tables) -> DataFrame:
         q1, q3 = month_grids.exact(table, grid, name, [0.25, 0.75], month)
         near = month_grids.approximate(grid, name, [0.25, 0.75])
         close = all(abs(a - b) <= 0.011 * b + 1 for a, b in zip(near, (q1, q3)))
-        found.append((name, q1, q3, round(q1 - 2.5 * (q3 - q1), 6), round(q3 + 2.5 * (q3 - q1), 6), close))
+        lower, upper = round(q1 - 2.5 * (q3 - q1), 6), round(q3 + 2.5 * (q3 - q1), 6)
+        found.append((name, round(q1, 6), round(q3, 6), lower, upper, close))
     return t.spark.createDataFrame(
         found, "column_name string, q1 double, q3 double, lower_bound double, upper_bound double, grid_is_close boolean"
     )
