@@ -1,6 +1,7 @@
 """Repeats in a stream: across batches and runs, late ones, and before a load."""
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,21 @@ def test_before_a_load(spark, raw):  # noqa: F811
     after = as_map(spark, table)
     assert before.items() <= after.items()
     assert {d for k, (d, _) in after.items() if k not in before} == {dt.date(2024, 1, 6)}
+
+
+def test_little_stays_on_local_disk(spark, raw):  # noqa: F811
+    """A run leaves neither the rows it moved nor its state on local disk, and the session has its settings back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    jvm, before = spark._jvm, spark.conf.get(key)
+    local = jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+
+    def left():
+        blocks = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        moved = {str(blocks.apply(i)) for i in range(blocks.size()) if "shuffle_" in str(blocks.apply(i))}
+        return moved | {str(p) for p in pathlib.Path(local).rglob("*.sst")}
+
+    landing, output, checkpoint = (new_path(spark, n) for n in ("landing", "once", "checkpoint"))
+    raw.write.parquet(landing)
+    stayed = left()
+    stream_once(spark, landing, output, checkpoint).awaitTermination()
+    assert left() <= stayed and spark.conf.get(key) == before
