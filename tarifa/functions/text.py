@@ -52,7 +52,12 @@ def duration_minutes(value: Column) -> Column:
     numbers = F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0))
     hours = F.get(numbers, F.lit(0)).try_cast("int")
     minutes = F.get(numbers, F.lit(1)).try_cast("int")
-    return F.when(value.like("PT%H%M"), hours * 60 + minutes)
+    # Most texts hold just these two numbers, which are cut out in less time than all runs of digits are searched.
+    plain = value.rlike("\\APT[0-9]{1,7}H[0-9]{1,7}M\\z")
+    hour_text = F.substring_index(F.substr(value, F.lit(3)), "H", 1)
+    minute_text = F.substring_index(F.substring_index(value, "H", -1), "M", 1)
+    cut = hour_text.cast("int") * 60 + minute_text.cast("int")
+    return F.when(plain, cut).when(value.like("PT%H%M"), hours * 60 + minutes)
 
 
 def first_number(value: Column) -> Column:
@@ -62,12 +67,10 @@ def first_number(value: Column) -> Column:
 
 def parse_prices(value: Column) -> Column:
     """Numbers of a comma-separated text. A leading number counts, other entries are dropped."""
-    number = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)"
-    entries = F.transform(
-        F.split(value, ","),
-        lambda entry: F.regexp_extract(F.trim(entry), number, 1).try_cast("double"),
-    )
-    return F.when(F.trim(value) != "", F.filter(entries, lambda price: price.isNotNull()))
+    # One pass over the text: an entry starts it or follows a comma.
+    number = r"(?:^|,) *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+    found = F.regexp_extract_all(value, F.lit(number), F.lit(1)).try_cast("array<double>")
+    return F.when(F.trim(value) != "", found)
 
 
 def iso_text(epoch: Column) -> Column:

@@ -1,6 +1,7 @@
 """Boundary values of the column functions."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,34 @@ def test_display_rules(spark):
     )
     assert miles == [2475.0, 1.0, 2.0]
     assert math.isclose(sum(rules.FACTOR_WEIGHTS.values()), 1.0)
+
+
+def test_quick_forms_equal_the_plain_ones(spark):
+    """Labels, prices and durations against the forms by pattern alone, which the quick ones leave for odd values only."""
+    draw = random.Random(5)
+    shares = [n / 1000 for n in range(-1300, 1300)] + [0.1 + 0.15 + 0.1, -0.0, 0.0, float("inf"), float("nan"), None, 1e20]
+    found = spark.createDataFrame([(x,) for x in shares], "x double").select(
+        percent_label(F.col("x")).alias("quick"), F.format_string("%+.1f%%", F.col("x") * 100).alias("plain")
+    )
+    assert found.where(~F.col("quick").eqNullSafe(F.col("plain"))).count() == 0
+
+    texts = ["".join(draw.choice("0123456789.,,, +-eEx\t\n") for _ in range(draw.randrange(14))) for _ in range(5000)] + [None, "", " ", "1e999"]
+    number = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)"
+    entries = F.transform(F.split("x", ","), lambda e: F.regexp_extract(F.trim(e), number, 1).try_cast("double"))
+    plain = F.when(F.trim("x") != "", F.filter(entries, lambda p: p.isNotNull()))
+    prices = spark.createDataFrame([(x,) for x in texts], "x string").select(parse_prices(F.col("x")).alias("quick"), plain.alias("plain"))
+    assert prices.where(~F.col("quick").eqNullSafe(F.col("plain"))).count() == 0
+
+    texts = ["PT" + "".join(draw.choice("0123HMMH- ") for _ in range(draw.randrange(8))) for _ in range(5000)] + [None, "PT5H30M", "PT5H30M\n"]
+    numbers = F.regexp_extract_all("x", F.lit("[0-9]+"), F.lit(0))
+    first, second = (F.get(numbers, F.lit(i)).try_cast("int") for i in (0, 1))
+    plain = F.when(F.col("x").like("PT%H%M"), first * 60 + second)
+    minutes = spark.createDataFrame([(x,) for x in texts], "x string").select(duration_minutes(F.col("x")).alias("quick"), plain.alias("plain"))
+    assert minutes.where(~F.col("quick").eqNullSafe(F.col("plain"))).count() == 0
+
+
+def test_common_labels_and_prices_take_the_quick_way(spark):
+    """No higher-order function, which is not compiled, over prices; a short scan is split."""
+    plan = spark.createDataFrame([("1, 2 USD",)], "x string").select(parse_prices(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    assert "CASE WHEN" in str(percent_label(F.col("x")))
