@@ -1,11 +1,12 @@
 """Near copies by the similarity of their word shingles.
 
-Equal sets of shingles are one node. MinHash bands find the nodes that may have a near copy at all; most have none. Among those an exact
-prefix filter proposes pairs: each set is ordered by rising frequency of its shingles and only its rarest ones are keys, so texts that
-share a common passage do not meet. Exact sets of 64-bit shingle hashes confirm the pairs, so a link always means the stated similarity.
-Pairs that links already connect are not compared.
-SimHash with covering masks cannot propose them: at similarity 0.8 fingerprints differ in about ten bits, and covering a radius of r
-bits takes 2^(r+1) - 1 tables.
+Equal sets of shingles are one node. SimHash comes first: nodes whose fingerprints are within two bits are one component, and each is
+compared with the first of its component. MinHash bands then find the nodes that may have a near copy further off; most have none. Among
+those an exact prefix filter proposes pairs: each set is ordered by rising frequency of its shingles and only its rarest ones are keys, so
+texts that share a common passage do not meet. Exact sets of 64-bit shingle hashes confirm the pairs of both ways, so a link always means
+the stated similarity. Pairs that links already connect are not compared.
+SimHash alone loses links: at similarity 0.8 fingerprints differ in about ten bits, and covering a radius of r bits takes 2^(r+1) - 1
+tables.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarifa.llm import simhash
 from tarifa.llm.decontaminate import MAP_BITS, _bit_map, gram_hashes, word_hashes
 from tarifa.llm.graph import components
 from tarifa.llm.text import ROW, ascii_words, map_texts, texts
@@ -129,11 +131,20 @@ def prefixes(sets: DataFrame, least: float) -> DataFrame:
     )
 
 
-def linked(rows: DataFrame, dealt: DataFrame, size: int, least: float) -> DataFrame:
-    """``node`` and ``label``, the smallest node of its group, of all nodes that share a band with another.
+def alike(nodes: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
+    """``a`` and ``b``: each of ``nodes`` (``node``, ``fp``) with the smallest node of its SimHash component, stored.
+
+    One pair per node whatever the size of a component. A fingerprint may agree by chance, so the pairs are to be compared.
+    """
+    found = simhash.named(nodes.select(F.col("node").alias("doc_id"), "fp"), radius)
+    return save(found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b"), "alike")
+
+
+def linked(rows: DataFrame, dealt: DataFrame, proposed: DataFrame, size: int, least: float) -> DataFrame:
+    """``node`` and ``label``, the smallest node of its group, of all nodes that share a band with another or are in ``proposed``.
 
     Groups are what pairs of at least ``least`` connect. ``rows`` has ``_row`` and ``text``; ``dealt`` has ``key``, a band, and
-    ``node``, a row's number. Nodes meet in buckets, one for every shingle among their rarest. In every round the buckets compare some
+    ``node``, a row's number; the pairs ``proposed`` (``a``, ``b``) are compared first. Nodes meet in buckets, one for every shingle among their rarest. In every round the buckets compare some
     of their nodes, the centres, with those of their nodes that are not in their group yet and whose sizes and places in the order
     allow the similarity: at first the node with the smallest share of shingles of its own, as the most typical one is like most
     others, then about twice as many each time, in the order of a hash. So a pair is compared unless other links connect it, and after
@@ -141,14 +152,17 @@ def linked(rows: DataFrame, dealt: DataFrame, size: int, least: float) -> DataFr
     copies costs a few comparisons per node.
     """
     crowded = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    labels = save(dealt.join(crowded, "key").select("node", F.col("node").alias("label")).distinct(), "labels")
+    met = dealt.join(crowded, "key").select("node").unionByName(proposed.select(F.explode(F.array("a", "b")).alias("node")))
+    labels = save(met.distinct().withColumn("label", F.col("node")), "labels")
     sets = _sets(rows, labels, size)
+    done = _compared(sets, proposed)
+    labels = _relabelled(labels, done.filter(F.col("j") >= least))
     keyed = save(prefixes(sets, least), "prefixes")
     # The share of the hash range below a node: about ``place * nodes`` of the bucket come before it.
     place = F.shiftrightunsigned(F.xxhash64("node"), 11).cast("double") / float(1 << 53)
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
     shared = save(keyed.join(sizes, "key").withColumn("place", place), "buckets")
-    done, turn = None, 0
+    turn = 0
     while True:
         held = shared.join(labels, "node")
         ends = F.min(F.struct("own", "place")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -167,8 +181,8 @@ def linked(rows: DataFrame, dealt: DataFrame, size: int, least: float) -> DataFr
         fits = F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least / (1 + least) * (F.col("n") + F.col("n_x")) - 1e-9
         met = centres.join(members, "key").filter((F.col("label") != F.col("label_x")) & fits)
         pairs = met.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
-        found = _compared(sets, pairs if done is None else pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
-        done = found if done is None else done.unionByName(found)
+        found = _compared(sets, pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
+        done = done.unionByName(found)
         labels = _relabelled(labels, found.filter(F.col("j") >= least))
         if last:
             return labels
@@ -189,7 +203,7 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one with the smallest ``doc_id``, the first such row if it is repeated.
 
-    Documents are linked if the Jaccard similarity of their sets of ``size``-word shingles, known by 64-bit hashes, is at least
+    SimHash proposes copies, see ``alike``, and an exact join finds the others, see ``linked``. Documents are linked if the Jaccard similarity of their sets of ``size``-word shingles, known by 64-bit hashes, is at least
     ``least``; groups are what links connect. A text of fewer words is one shingle; null, empty and wordless texts are one group.
     Rows without an id come last. Columns and their order stay, whatever their names. The bands are chosen for ``least`` 0.8.
     """
@@ -205,15 +219,16 @@ def keep_one(
         own = [shingles(t, size) for t in texts(batch)]
         digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in own], pa.binary())
         keys = pa.array([bands(s) for s in own], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("id"), digests, keys], [ROW, "id", "digest", "bands"])
+        fps = pa.array(np.array([simhash.majority(s) for s in own], np.uint64).view(np.int64))
+        return pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("id"), digests, fps, keys], [ROW, "id", "digest", "fp", "bands"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    prints = save(map_texts(rows, each, f"{ROW} long, id {kind}, digest binary, bands array<long>"), "bands")
+    prints = save(map_texts(rows, each, f"{ROW} long, id {kind}, digest binary, fp long, bands array<long>"), "bands")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)).alias("first")
-    sets = save(prints.groupBy("digest").agg(F.min(ROW).alias("node"), first).select("node", "first"), "sets")
+    sets = save(prints.groupBy("digest").agg(F.min(ROW).alias("node"), F.first("fp").alias("fp"), first).select("node", "fp", "first"), "sets")
     dealt = prints.join(sets.select(F.col("node").alias(ROW)), ROW, "left_semi")
     dealt = dealt.select(F.explode("bands").alias("key"), F.col(ROW).alias("node"))
-    labels = linked(rows, dealt, size, least)
+    labels = linked(rows, dealt, alike(sets), size, least)
     named = sets.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), "first")
     chosen = named.groupBy("label").agg(F.min("first").alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
     return stored.join(chosen, ROW, "left_semi").select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

@@ -41,11 +41,15 @@ def fingerprint(words: list[bytes], size: int = SHINGLE_WORDS) -> int:
     shingles = zip(*(words[i:] for i in range(size))) if len(words) >= size else [words]
     digest = partial(xxhash.xxh64_intdigest, seed=SEED)
     count = max(1, len(words) - size + 1)
-    hashes = np.fromiter(map(digest, map(b" ".join, shingles)), np.uint64, count).astype(">u8").view(np.uint8).reshape(-1, 8)
-    ones = np.zeros(BITS, np.int64)
-    for start in range(0, count, CHUNK):
-        ones += np.unpackbits(hashes[start : start + CHUNK], axis=1).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(ones * 2 > count).tobytes(), "big")
+    return majority(np.fromiter(map(digest, map(b" ".join, shingles)), np.uint64, count))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some 64-bit hashes, as an unsigned number; 0 without hashes."""
+    rows, ones = hashes.astype(">u8").view(np.uint8).reshape(-1, 8), np.zeros(BITS, np.int64)
+    for start in range(0, len(rows), CHUNK):
+        ones += np.unpackbits(rows[start : start + CHUNK], axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(ones * 2 > len(rows)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:

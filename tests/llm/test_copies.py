@@ -99,3 +99,17 @@ def test_stage_finds_similar_texts(spark, folder):
     wanted, similar = groups_expected(texts)
     kept = dict(pipeline.STAGES)["near_copies"](spark, frame(spark, texts), folder)
     assert similar > 200 and sorted((False, r["doc_id"]) for r in kept.collect()) == wanted
+
+
+def test_simhash_proposes_copies(spark, folder, monkeypatch):
+    """The stage links texts by SimHash components and an exact check; equal fingerprints of unlike sets link nothing."""
+    texts = varied(random.Random(10))
+    wanted, _ = groups_expected(texts)
+    asked, named = [], copies.simhash.named
+    monkeypatch.setattr(copies.simhash, "named", lambda *a, **k: asked.append(1) or named(*a, **k))
+    kept = dict(pipeline.STAGES)["near_copies"](spark, frame(spark, texts), folder)
+    assert asked and sorted((False, r["doc_id"]) for r in kept.collect()) == wanted
+    nodes = spark.createDataFrame([(1, 7), (2, 7), (3, 6), (4, -1), (5, 7)], "node long, fp long")
+    assert sorted(map(tuple, copies.alike(nodes).collect())) == [(1, 2), (1, 3), (1, 5)]
+    monkeypatch.setattr(copies.simhash, "majority", lambda hashes: 5)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in copies.keep_one(frame(spark, texts)).collect()) == wanted
