@@ -629,20 +629,18 @@ def model_roundtrip(t: Tables) -> DataFrame:
     """Per request: a model that was stored and loaded predicts the same as before, and the price keeps its bounds."""
     path, model, codes = new_path(t.spark, "model"), _small_model(t), t.prepared[1]
     training.save_model(model, codes, path)
-    requests = save(t.valid_requests.drop("ml_prediction"), "requests")
-
-    def priced(model, codes) -> DataFrame:
-        rows = pricing.with_price(pricing.with_factors(training.score_requests(model, codes, requests)))
-        prediction, price = F.col("ml_prediction"), F.col("final_price")
-        bounds = price.between(prediction * PRICE_FLOOR - 0.5, prediction * PRICE_CEILING + 0.5)
-        return rows.groupBy("request_id").agg(
-            F.sort_array(F.collect_list(stable(prediction))).alias("predictions"),
-            F.every(F.coalesce(bounds, prediction == 0)).alias("bounded"),
-        )
-
-    after, before = priced(*training.load_model(t.spark, path)), priced(model, codes)
-    joined = after.join(before.select("request_id", F.col("predictions").alias("expected")), "request_id")
-    return joined.select(
+    requests = t.valid_requests.drop("ml_prediction")
+    # Both models score the same row, so requests are derived once and two predictions meet without a join.
+    expected = training.score_requests(model, codes, requests).select(*requests.columns, F.col("ml_prediction").alias("expected"))
+    rows = pricing.with_price(pricing.with_factors(training.score_requests(*training.load_model(t.spark, path), expected)))
+    prediction, price = F.col("ml_prediction"), F.col("final_price")
+    bounds = price.between(prediction * PRICE_FLOOR - 0.5, prediction * PRICE_CEILING + 0.5)
+    found = rows.groupBy("request_id").agg(
+        F.sort_array(F.collect_list(stable(prediction))).alias("predictions"),
+        F.sort_array(F.collect_list(stable(F.col("expected")))).alias("expected"),
+        F.every(F.coalesce(bounds, prediction == 0)).alias("bounded"),
+    )
+    return found.select(
         "request_id",
         F.size("predictions").cast("long").alias("requests"),
         (F.col("predictions") == F.col("expected")).alias("same_prediction"),

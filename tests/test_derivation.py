@@ -1,10 +1,14 @@
 """What every derived row pays for: times as text, items counted, airline names counted by distinct text."""
 
+import glob
+
 from pyspark.sql import functions as F
 from tarifa.functions.text import iso_text, item_count, split_list
 from tarifa.operators import dimensions
 from tarifa.operators.staging import stage_flights
+from tarifa.plans.queries import QUERIES
 from tarifa.plans.tables import Tables
+from tarifa.session import shared_folder
 
 
 def test_times_before_1970_are_texts_too(spark):
@@ -27,3 +31,11 @@ def test_items_are_counted_as_split_gives_them(spark):
 def test_airline_names_are_split_by_distinct_text(spark, folder):
     plan = dimensions.airline_name_frequency(stage_flights(Tables(spark, folder).raw))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.rindex("Aggregate") > plan.index("Generate")
+
+
+def test_round_trip_scores_requests_where_they_are_derived(spark, folder):
+    stored = f"{shared_folder(spark).removeprefix('file:')}/tables/requests-*"
+    before = glob.glob(stored)
+    found = QUERIES["model_roundtrip"](Tables(spark, folder))
+    assert found.where("NOT same_prediction OR NOT price_in_bounds").isEmpty()
+    assert glob.glob(stored) == before
