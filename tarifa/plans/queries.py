@@ -33,7 +33,7 @@ from tarifa.operators import (
     training,
     upsert,
 )
-from tarifa.plans.tables import FIRST_LOAD_END, Tables
+from tarifa.plans.tables import FIRST_LOAD_END, Tables, before_first_load_end, requote
 from tarifa.session import new_path, save
 from tarifa.sources import generator, interleaved, seeds, tables
 from tarifa.sources.tables import read_table
@@ -169,8 +169,13 @@ def interleaved_write(t: Tables) -> DataFrame:
 
 @query
 def incremental_upsert(t: Tables) -> DataFrame:
-    target = save(t.first_load, "staging")
-    arrived = staging.stage_flights(upsert.since_mark(t.requoted, upsert.newest_date(target))).drop("loaded_at")
+    """Both loads are dealt by id before they are staged; from there on only the ids of the batch move."""
+    # No fewer tasks than a join has: the rows stay where they are dealt, and the ids of the batch are sent to them.
+    raw = t.dealt_raw(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    # Of an id's rows the newest is kept, so the newest date of all rows is that of the loaded ones.
+    mark = upsert.newest_date(t.early)
+    target = upsert.one_per_key(before_first_load_end(staging.stage_flights(raw).drop("loaded_at")))
+    arrived = staging.stage_flights(upsert.since_mark(requote(raw), mark)).drop("loaded_at")
     batch = save(upsert.one_per_key(arrived), "batch")
     return upsert.upsert(target, batch)
 

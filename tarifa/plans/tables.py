@@ -35,6 +35,10 @@ class Tables:
     def raw(self) -> DataFrame:
         return raw_flights(self.spark, self.folder)
 
+    def dealt_raw(self, least: int = 1) -> DataFrame:
+        """The raw rows dealt by id, if there are many to ``least`` tasks or more, for loads that reduce them to one row per id."""
+        return raw_flights(self.spark, self.folder, dealt=True, least=least)
+
     @cached_property
     def staging(self) -> DataFrame:
         return stage_flights(self.raw).drop("loaded_at")
@@ -83,7 +87,7 @@ class Tables:
     @cached_property
     def early(self) -> DataFrame:
         """Staged rows of the first load, copies included."""
-        return self.staging.where(F.col("search_date") < F.lit(FIRST_LOAD_END).cast("date"))
+        return before_first_load_end(self.staging)
 
     @cached_property
     def first_load(self) -> DataFrame:
@@ -91,12 +95,21 @@ class Tables:
 
     @cached_property
     def requoted(self) -> DataFrame:
-        """The raw rows as seen by a later load: refundable fares searched again, 30 days on and 10% up."""
-        again = F.col("ISREFUNDABLE")
-        dearer = F.col("TOTALFARE") * F.lit(1.1).cast("decimal(2,1)")
-        return self.raw.withColumns(
-            {
-                "SEARCHDATE": F.when(again, F.date_add("SEARCHDATE", 30)).otherwise(F.col("SEARCHDATE")),
-                "TOTALFARE": F.when(again, dearer).otherwise(F.col("TOTALFARE")).cast("decimal(10,2)"),
-            }
-        )
+        """The raw rows as seen by a later load, see ``requote``."""
+        return requote(self.raw)
+
+
+def before_first_load_end(staged: DataFrame) -> DataFrame:
+    return staged.where(F.col("search_date") < F.lit(FIRST_LOAD_END).cast("date"))
+
+
+def requote(raw: DataFrame) -> DataFrame:
+    """Refundable fares searched again, 30 days on and 10% up."""
+    again = F.col("ISREFUNDABLE")
+    dearer = F.col("TOTALFARE") * F.lit(1.1).cast("decimal(2,1)")
+    return raw.withColumns(
+        {
+            "SEARCHDATE": F.when(again, F.date_add("SEARCHDATE", 30)).otherwise(F.col("SEARCHDATE")),
+            "TOTALFARE": F.when(again, dearer).otherwise(F.col("TOTALFARE")).cast("decimal(10,2)"),
+        }
+    )

@@ -21,20 +21,38 @@ SHIFT_DAYS = 9862
 LOADED_AT = "2026-01-01 00:00:00"
 
 
-def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw itinerary table over the driver tables of ``folder``."""
+# Line items that one task dealt by id derives and ranks in memory, and the number from which on tasks are counted by it: Spark would
+# size them by the few bytes that a dealt row has.
+DEALT_ROWS = 500_000
+MANY_ROWS = 8 * DEALT_ROWS
+
+
+def raw_flights(spark: SparkSession, folder: str, dealt: bool = False, least: int = 1) -> DataFrame:
+    """The raw itinerary table over the driver tables of ``folder``; ``dealt`` by id, if there are many to ``least`` tasks or more."""
     lineitem = read_table(spark, folder, "lineitem").select(LINE_COLUMNS)
-    return derive_itineraries(lineitem, read_table(spark, folder, "orders"))
+    rows = lineitem.count() if dealt else 0
+    tasks = (max(least, -(-rows // DEALT_ROWS)),) if rows > MANY_ROWS else ()
+    return derive_itineraries(lineitem, read_table(spark, folder, "orders"), dealt=tasks if dealt else None)
+
 
+def derive_itineraries(
+    lineitem: DataFrame, orders: DataFrame, loaded_at: str = LOADED_AT, dealt: tuple[int, ...] | None = None
+) -> DataFrame:
+    """One itinerary per line item. ``lineitem`` may be a stream; only the order date is joined in.
 
-def derive_itineraries(lineitem: DataFrame, orders: DataFrame, loaded_at: str = LOADED_AT) -> DataFrame:
-    """One itinerary per line item. ``lineitem`` may be a stream; only the order date is joined in."""
+    With ``dealt`` the rows go by their id to that many tasks, or to as many as Spark chooses for ``()``, while they are a few numbers.
+    Steps by id that follow, such as one row per id, then move no row again, and a staged row is about seven times as large. All
+    copies of an id meet in one task.
+    """
     dated = lineitem.join(
         orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     part, supp, line, quantity = (
         F.col(c) for c in ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     )
+    leg = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
+    if dealt is not None:
+        dated, leg = dated.withColumn("leg", leg).repartition(*dealt, "leg"), F.col("leg")
     based = dated.withColumns(
         {
             "nonstop": line % 2 == 1,
@@ -75,7 +93,7 @@ def derive_itineraries(lineitem: DataFrame, orders: DataFrame, loaded_at: str =
     arrives_1 = F.col("leaves") + F.col("seconds_1")
     arrives_2 = F.col("leaves_2") + seconds_2
     columns = {
-        "LEGID": F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")),
+        "LEGID": leg,
         "SEARCHDATE": F.col("search"),
         "FLIGHTDATE": F.col("flight"),
         "STARTINGAIRPORT": F.when(
