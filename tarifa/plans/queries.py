@@ -185,12 +185,13 @@ def month_key_filter(t: Tables) -> DataFrame:
     """Per month of the first load: its rows, and those whose key a batch of the quarter around its end holds, found through stored
     filters; months that the filters rule out are not read."""
     path, month = new_path(t.spark, "staging"), upsert.MONTH
-    loaded = t.first_load.withColumn(month, upsert.search_month())
+    early = before_first_load_end(staging.stage_flights(t.dealt_raw()).drop("loaded_at"))
+    loaded = upsert.one_per_key(early).withColumn(month, upsert.search_month())
     upsert.write_months(loaded, path)
     current = t.spark.read.schema(loaded.schema).parquet(path)
     key_filter.write_filters(current, upsert.filters_path(path), upsert.KEY, month)
     late = t.staging.where(F.col("search_date") >= F.date_sub(F.lit(FIRST_LOAD_END).cast("date"), 60))
-    batch = save(upsert.one_per_key(late).select(upsert.KEY), "batch")
+    batch = save(late.select(upsert.KEY).distinct(), "batch")
     filters = key_filter.read_filters(t.spark, upsert.filters_path(path), month)
     known = upsert.rows_of_known_keys(current, batch, filters).groupBy(month).agg(F.count(F.lit(1)).alias("known_rows"))
     rows = current.groupBy(month).agg(F.count(F.lit(1)).alias("table_rows"))
