@@ -202,9 +202,10 @@ def month_key_filter(t: Tables) -> DataFrame:
 def dims_incremental(t: Tables) -> DataFrame:
     """Routes and airlines after two loads of which the second replaces rows of the first, from counts that the loads kept up."""
     path = new_path(t.spark, "staging")
-    first = t.raw.where(F.col("SEARCHDATE") < F.lit(FIRST_LOAD_END).cast("date"))
-    upsert.load_batch(t.spark, path, first, "first")
-    upsert.load_batch(t.spark, path, t.requoted, "requoted")
+    early = F.col("SEARCHDATE") < F.lit(FIRST_LOAD_END).cast("date")
+    dealt = t.dealt_raw()
+    upsert.load_batch(t.spark, path, t.raw.where(early), "first", dealt=dealt.where(early))
+    upsert.load_batch(t.spark, path, t.requoted, "requoted", dealt=requote(dealt))
     counts = save(partials.read_counts(t.spark, upsert.counts_path(path), upsert.MONTH), "counts")
     routes = partials.routes(counts).select(F.lit("route").alias("kind"), F.col("route_key").alias("key"), F.col("distance_miles").cast("string").alias("value"))
     return routes.unionByName(partials.airlines(counts).select(F.lit("airline").alias("kind"), F.col("airline_code").alias("key"), F.col("airline_name").alias("value")))
