@@ -8,102 +8,106 @@ offset and cuts at multiples of the window; each piece is a boundary record that
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarifa.llm.text import only, slices, texts
+from tarifa.llm.text import only, slices
 from tarifa.session import new_path
 
 SEQUENCE_TOKENS = 4096
 END_OF_DOCUMENT = 2
-# Words, and parts of words, whose ids a task remembers, and the longest of them in bytes: at most about 300 MB.
-KNOWN_WORDS = 800_000
+# Words whose ids a task remembers as recent ones, with as many older ones, and the longest of them in bytes: about 100 MB at most.
+KNOWN_WORDS = 250_000
 KNOWN_WORD_BYTES = 48
-# Trailing ASCII punctuation is a token run of its own after a letter or digit.
-_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+# Words that the tokenizer takes at once.
+CHUNK = 1000
+# Lower-case letters that the tokenizer's normalizer leaves as they are, and what may follow: after a letter, ASCII punctuation is a
+# token run of its own.
+_LETTERS = "[a-z\u00df-\u00f6\u00f8-\u00ff]+"
+_PLAIN = rf"^(?P<stem>{_LETTERS})(?P<tail>[!-/:-@\[-`{{-~]*)$"
 
-_encoders: dict[str, Callable[[list[bytes]], list[bytes]]] = {}
+_encoders: dict[str, Callable[[pa.Array], list[bytes]]] = {}
 
 
-def _encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit numbers.
+def _encoder(path: str) -> Callable[[pa.Array], list[bytes]]:
+    """A function from an array of texts to their ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space, ignores case and never joins across white space or between letters and punctuation. So the
     ids of a text are those of its words, the ids of a word those of its stem and its trailing punctuation, and each is computed
-    once as long as it is remembered.
+    once as long as it is remembered. Stems of plain letters are words to the tokenizer's model as they stand.
     """
     if path in _encoders:
         return _encoders[path]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
     tokenizer = Tokenizer.from_file(path)
+    splitter = Tokenizer(tokenizer.model)
+    splitter.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
     vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     ends_word = np.zeros(tokenizer.get_vocab_size() + 1, bool)
     ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-    words_known: dict[bytes, bytes] = {}
-    parts_known: dict[bytes, bytes] = {b"": b""}
+    letters = re.compile(_LETTERS)
+    recent: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
-    def alone(parts: list[bytes]) -> dict[bytes, bytes]:
-        found = tokenizer.encode_batch_fast([part.decode() for part in parts], add_special_tokens=False)
-        return {part: np.array(item.ids, "<u4").tobytes() for part, item in zip(parts, found)}
+    def alone(parts: list[str]) -> list[bytes]:
+        return [np.array(item.ids, "<u4").tobytes() for item in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def together(parts: list[bytes]) -> dict[bytes, bytes]:
-        """Parts made of letters only: one word each, so the word ends in the ids of all tell them apart."""
-        item = tokenizer.encode_batch_fast([" ".join(part.decode() for part in parts)], add_special_tokens=False)[0]
-        ids = np.array(item.ids, "<u4")
+    def together(parts: list[str]) -> list[bytes]:
+        """Parts made of plain letters only: one word each, so the word ends in the ids of all tell them apart."""
+        ids = np.array(splitter.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(ends_word[ids]) + 1
         if len(ends) != len(parts):
             return alone(parts)
         data, stops = ids.tobytes(), (4 * ends).tolist()
-        return {part: data[a:b] for part, a, b in zip(parts, [0, *stops], stops)}
-
-    def resolve(words: list[bytes]) -> list[bytes]:
-        stems, tails = [], []
-        for word in words:
-            lower = word.lower()
-            stem = lower.rstrip(_PUNCTUATION)
-            if b"<|" in word:  # may hold the text of a special token, which is matched as it stands
-                stem, lower = word, word
-            elif not stem[-1:].isalnum():
-                stem = lower
-            stems.append(stem)
-            tails.append(lower[len(stem) :])
-        new = {*stems, *tails} - parts_known.keys()
-        if len(parts_known) + len(new) > KNOWN_WORDS:
-            parts_known.clear()
-            parts_known[b""] = b""
-            new = {*stems, *tails} - {b""}
-        letters = [part for part in new if part.decode().isalpha()]
-        for i in range(0, len(letters), 1000):
-            parts_known.update(together(letters[i : i + 1000]))
-        parts_known.update(alone([part for part in new if part not in parts_known]))
-        found = [parts_known[stem] + parts_known[tail] for stem, tail in zip(stems, tails)]
-        for part in new:
-            if len(part) > KNOWN_WORD_BYTES:
-                del parts_known[part]
-        return found
-
-    def encode(values: list[bytes]) -> list[bytes]:
-        split = [value.split() for value in values]
-        found = [list(map(words_known.get, words)) for words in split]
-        missing = list({word for words, own in zip(split, found) if None in own for word, ids in zip(words, own) if ids is None})
-        if len(words_known) + len(missing) > KNOWN_WORDS:
-            words_known.clear()
-        fresh = dict(zip(missing, resolve(missing)))
-        for words, own in zip(split, found):
-            if None in own:
-                own[:] = [ids if ids is not None else fresh[word] for word, ids in zip(words, own)]
-        words_known.update(fresh)
-        for word in missing:
-            if len(word) > KNOWN_WORD_BYTES:
-                del words_known[word]
-        return [b"".join(own) for own in found]
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
+    def known(parts: list[str]) -> pa.Array:
+        nonlocal recent, older
+        found = list(map(recent.get, parts))
+        places = [i for i, ids in enumerate(found) if ids is None]
+        asked = [parts[i] for i in places]
+        own = list(map(older.get, asked))
+        missing = [part for part, ids in zip(asked, own) if ids is None]
+        plain = [part for part in missing if letters.fullmatch(part)]
+        fresh = {}
+        for i in range(0, len(plain), CHUNK):
+            fresh.update(zip(plain[i : i + CHUNK], together(plain[i : i + CHUNK])))
+        others = [part for part in missing if part not in fresh]
+        fresh.update(zip(others, alone(others)))
+        for i, part, ids in zip(places, asked, own):
+            found[i] = fresh[part] if ids is None else ids
+        if len(recent) + len(asked) > KNOWN_WORDS:
+            recent, older = {}, recent
+        recent.update([(parts[i], found[i]) for i in places[:KNOWN_WORDS] if len(parts[i]) <= KNOWN_WORD_BYTES])
+        return pa.array(found, pa.large_binary())
+
+    def word_ids(words: pa.Array) -> pa.Array:
+        # What may hold the text of a special token is matched as it stands.
+        lower = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words)).dictionary_encode()
+        plain = pc.extract_regex(lower.dictionary, _PLAIN)
+        stems = pc.coalesce(pc.struct_field(plain, "stem"), lower.dictionary).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(plain, "tail"), "").dictionary_encode()
+        parts = [known(own.dictionary.to_pylist()).take(own.indices) for own in (stems, tails)]
+        return pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary())).take(lower.indices)
+
+    def encode(column: pa.Array) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        coded = words.values.dictionary_encode()
+        # The ids of all words in order, and where each text ends among them.
+        joined = word_ids(coded.dictionary).take(coded.indices)
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[words.offsets.to_numpy()].tolist()
+        data = memoryview(joined.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
     _encoders[path] = encode
     return encode
@@ -117,7 +121,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_OF_DOCUMENT
         end = np.array([end_id], "<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for piece in slices(batches):
-            ids = [found + end for found in encode(texts(piece))]
+            ids = [found + end for found in encode(piece.column("text"))]
             tokens = np.array([len(found) // 4 for found in ids], np.int64)
             ends = before + np.cumsum(tokens)
             yield pa.RecordBatch.from_arrays(
