@@ -90,10 +90,11 @@ def benchmark_prints(items: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def _bit_map(prints: DataFrame) -> np.ndarray:
-    """One bit per value of a fingerprint's last ``MAP_BITS`` bits; the words gathered are bounded by the map's size."""
+    """One bit per value of a fingerprint's last ``MAP_BITS`` bits; the words gathered, as Arrow columns, are bounded by the map's size."""
     at = F.col("print").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     words = prints.select(F.shiftright(at, 5).alias("word"), F.expr("shiftleft(1L, cast(print & 31 as int))").alias("bits"))
-    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    # Rows as Python objects would take the driver 300 MB for a full map.
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(1 << (MAP_BITS - 5), np.uint32)
     bits[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return bits
