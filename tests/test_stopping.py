@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tarifa.fixed_values import FEATURES
 from tarifa.operators import stopping, training
+from tarifa.plans.queries import QUERIES
+from tarifa.plans.tables import Tables
 from tarifa.session import new_path, save
 
 NAN = float("nan")
@@ -71,3 +73,23 @@ def test_rounds_outside_the_model(marked):
     for rounds in (0, 3):
         with pytest.raises(ValueError):
             stopping.first_rounds(model, rounds)
+
+
+@pytest.mark.parametrize("name, depths", [("train_gbt", [10]), ("train_ensemble", [10, 3, 10])])
+def test_queries_ask_for_the_whole_models(spark, monkeypatch, marked, name, depths):
+    """Boosting may take 1,500 rounds and stops after 50 without gain, a forest has 100 trees. The fits are cut here, so that no run stops."""
+    asked, fit, best_round, patiences = [], training.fit, stopping.best_round, set()
+
+    def short(encoded, regressor):
+        rounds = regressor.hasParam("maxIter")
+        trees = regressor.getMaxIter() if rounds else regressor.getNumTrees()
+        asked.append((regressor.getMaxDepth(), trees))
+        return fit(encoded, regressor.copy({regressor.maxIter if rounds else regressor.numTrees: 2, regressor.maxDepth: 3}))
+
+    monkeypatch.setattr("tarifa.plans.queries._marked", lambda t: marked)
+    monkeypatch.setattr(training, "fit", short)
+    monkeypatch.setattr(stopping, "best_round", lambda losses, patience: (patiences.add(patience), best_round(losses, patience))[1])
+    found = QUERIES[name](Tables(spark, "")).collect()
+    assert all(r["rows_scored"] == 80 and r["better_than_mean"] for r in found) and patiences == {50}
+    most = [max(t for d, t in asked if d == depth) for depth in depths]
+    assert most == [1500] * len(most) and (name == "train_gbt" or asked[-1] == (10, 100))
