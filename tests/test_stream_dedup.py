@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_operators import as_map, load, raw  # noqa: F401
 
 from tarifa.session import new_path
+from tarifa.streaming import dedup
 from tarifa.streaming.dedup import stream_once
 from tarifa.streaming.loads import stream_into_staging
 
@@ -89,3 +90,42 @@ def test_little_stays_on_local_disk(spark, raw):  # noqa: F811
     stayed = left()
     stream_once(spark, landing, output, checkpoint).awaitTermination()
     assert left() <= stayed and spark.conf.get(key) == before
+
+
+def test_only_keys_and_places_are_moved(spark, raw, capsys):  # noqa: F811
+    landing, output, checkpoint = (new_path(spark, n) for n in ("landing", "once", "checkpoint"))
+    raw.write.parquet(landing)
+    run = stream_once(spark, landing, output, checkpoint, delay="3000 days")
+    run.awaitTermination()
+    capsys.readouterr()
+    run.explain()
+    moved = capsys.readouterr().out
+    assert "Exchange" in moved and "LEGID" in moved and "TOTALFARE" not in moved
+
+
+@pytest.mark.parametrize("copied", [dedup.COPIED_BYTES, 0])
+def test_whole_rows_pass(spark, raw, monkeypatch, copied):  # noqa: F811
+    """Rows of files with more rows than a map has bits, repeats inside a batch and later, in a folder with an odd name."""
+    monkeypatch.setattr(dedup, "COPIED_BYTES", copied)
+    landing, output, checkpoint = f"{new_path(spark, 'landing')} a%20b[1]{{c}}", new_path(spark, "once"), new_path(spark, "checkpoint")
+    one, n = raw.limit(1), 70_001
+
+    def arrive(numbers, fare):
+        made = one.crossJoin(numbers).withColumns(
+            {"LEGID": F.concat(F.lit("leg-"), F.col("id").cast("string")), "SEARCHDATE": F.lit("2024-01-01").cast("date"), "TOTALFARE": (F.col("id") % 977 + fare).cast("decimal(10,2)")}
+        )
+        made.select(one.columns).coalesce(1).write.mode("append").parquet(landing)
+        # A stream takes a folder for a pattern.
+        escaped = "".join(f"\\{c}" if c in "[]{}" else c for c in landing)
+        stream_once(spark, escaped, output, checkpoint, delay="30 days").awaitTermination()
+        return spark.read.schema(one.schema).parquet(output)
+
+    passed = arrive(spark.range(n).unionByName(spark.range(0, n, 7)), 100)
+    fare = F.sum(F.col("TOTALFARE") - F.substring("LEGID", 5, 9).cast("long") % 977)
+    ids = F.countDistinct("LEGID")
+    assert passed.agg(F.count(F.lit(1)), ids, fare).first()[:] == (n, n, 100 * n)
+    passed = arrive(spark.range(n - 5, n + 40_000, 3), 200)
+    new = len(range(n - 5, n + 40_000, 3)) - 2
+    assert passed.agg(F.count(F.lit(1)), ids, fare).first()[:] == (n + new, n + new, 100 * n + 200 * new)
+    rest = [c for c in one.columns if c not in ("LEGID", "SEARCHDATE", "TOTALFARE")]
+    assert [r[:] for r in passed.select(rest).distinct().collect()] == [r[:] for r in one.select(rest).collect()]
